@@ -20,9 +20,14 @@ from meterwise.operators import consumption as C
 from meterwise.operators.inspect import schema_profile
 from meterwise.operators.wordcount import word_count_of_texts
 from meterwise.plans import analysis as AN
+from meterwise.plans import jobs as J
+from meterwise.plans import standins
 from meterwise.plans.standins import (ADVERSITY, FLAT, GAPS_SQL, READINGS_SQL, WARNED,
                                       readings, readings_with_gaps, table)
-from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD, TARIFF, TIME
+from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD, READING_SCHEMA, TARIFF, TIME
+from meterwise.session import scratch_path
+from meterwise.sources import files as SRC
+from meterwise.sources import sinks as SNK
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -338,3 +343,87 @@ WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents
 SELECT word, COUNT(*) AS count FROM words GROUP BY word ORDER BY count DESC""")
 def word_count(spark, sf_dir):
     return word_count_of_texts(table(spark, sf_dir, "documents").select("text"))
+
+
+# ---- sources and sinks: write, read back (S1-S8, K1-K3, K6, P4, P6, F4, §3.1, §3.4) ----
+
+_READINGS_ORACLE = f"""
+WITH {READINGS_SQL}
+SELECT * FROM readings"""
+
+
+@query("etl_csv_to_parquet", _DROP_ANY_ORACLE)
+def etl_csv_to_parquet(spark, sf_dir):
+    """§3.1: a raw readings CSV (made from the stand-in, gaps included) is loaded."""
+    raw_csv = SNK.write_csv(_gaps(spark, sf_dir), scratch_path(spark, "raw-readings-csv"),
+                            header=True)
+    return J.load_readings(spark, raw_csv, scratch_path(spark, "readings-parquet"))
+
+
+@query("etl_partitioned_month", f"""
+WITH {READINGS_SQL}
+SELECT * FROM readings WHERE year({TIME}) = 1998 AND month({TIME}) = 3""")
+def etl_partitioned_month(spark, sf_dir):
+    """Partitioned staging; a month filter then reads one folder only (pruning)."""
+    raw_csv = SNK.write_csv(_readings(spark, sf_dir), scratch_path(spark, "raw-readings-csv"),
+                            header=True)
+    out = scratch_path(spark, "readings-by-month")
+    J.load_readings(spark, raw_csv, out, partition_by_month=True)
+    return (SRC.read_parquet(spark, out).filter((F.col("year") == 1998) & (F.col("month") == 3))
+            .drop("year", "month"))
+
+
+@query("csv_round_trip", _READINGS_ORACLE)
+def csv_round_trip(spark, sf_dir):
+    path = SNK.write_csv(_readings(spark, sf_dir), scratch_path(spark, "readings-csv"),
+                         header=True)
+    return SRC.read_readings_csv(spark, path, READING_SCHEMA)
+
+
+@query("parquet_round_trip", "SELECT * FROM lineitem")
+def parquet_round_trip(spark, sf_dir):
+    path = SNK.write_parquet(table(spark, sf_dir, "lineitem"),
+                             scratch_path(spark, "lineitem-parquet"), mode="errorifexists")
+    return SRC.read_parquet(spark, path)
+
+
+@query("json_round_trip", _READINGS_ORACLE)
+def json_round_trip(spark, sf_dir):
+    path = SNK.write_json(_readings(spark, sf_dir), scratch_path(spark, "readings-json"))
+    return SRC.read_json(spark, path, READING_SCHEMA)
+
+
+@query("text_round_trip", "SELECT p_name AS value FROM part")
+def text_round_trip(spark, sf_dir):
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("value"))
+    return SRC.read_text(spark, SNK.write_text(names, scratch_path(spark, "part-names-text")))
+
+
+@query("positional_rename", _READINGS_ORACLE)
+def positional_rename(spark, sf_dir):
+    """Headerless read of files that have header lines: rename, drop headers, cast."""
+    path = SNK.write_csv(_readings(spark, sf_dir), scratch_path(spark, "readings-csv"),
+                         header=True)
+    return SRC.repair_headerless(SRC.read_csv_headerless(spark, path), READING_SCHEMA)
+
+
+@query("filter_range", """
+SELECT p_name AS name FROM part WHERE p_size >= 13 AND p_size <= 19""")
+def filter_range(spark, sf_dir):
+    """§3.4 people job over ``part`` (age <- p_size, name <- p_name)."""
+    people = SNK.write_json(standins.people(table(spark, sf_dir, "part")),
+                            scratch_path(spark, "people-json"))
+    return J.people_job(spark, people, scratch_path(spark, "people-parquet"),
+                        csv_out=scratch_path(spark, "teenagers-csv"))
+
+
+@query("word_count_text_file", """
+WITH lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents),
+     words AS (SELECT unnest(string_split(line, ' ')) AS word FROM lines)
+SELECT word, COUNT(*) AS count FROM words GROUP BY word ORDER BY count DESC""")
+def word_count_text_file(spark, sf_dir):
+    """X10 as the original job: a text file read line by line, counts written out."""
+    text = SNK.write_text(table(spark, sf_dir, "documents").select(F.col("text").alias("value")),
+                          scratch_path(spark, "documents-text"))
+    return J.word_count_job(spark, text, out_csv=scratch_path(spark, "word-count-csv"),
+                            out_pairs=scratch_path(spark, "word-count-pairs"))
