@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from meterwise.functions.calendar import with_calendar
 from meterwise.operators import clean as CL
 from meterwise.operators import consumption as C
+from meterwise.operators import ml as ML
 from meterwise.operators.inspect import schema_profile
 from meterwise.operators.wordcount import word_count_of_texts
 from meterwise.plans import analysis as AN
@@ -427,3 +428,137 @@ def word_count_text_file(spark, sf_dir):
                           scratch_path(spark, "documents-text"))
     return J.word_count_job(spark, text, out_csv=scratch_path(spark, "word-count-csv"),
                             out_pairs=scratch_path(spark, "word-count-pairs"))
+
+
+# ---- machine learning (M1-M15) ---------------------------------------------
+
+@query("index_frequency", """
+WITH codes AS (
+  SELECT event_type,
+         CAST(row_number() OVER (ORDER BY COUNT(*) DESC, event_type) - 1 AS DOUBLE) AS type_code
+  FROM events GROUP BY event_type)
+SELECT e.event_id, e.event_type, c.type_code FROM events e JOIN codes c USING (event_type)""")
+def index_frequency(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return ML.index(events, "event_type", "type_code")
+
+
+@query("index_alphabetical", """
+SELECT event_id, event_type,
+       CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS DOUBLE) AS type_code
+FROM events""")
+def index_alphabetical(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return ML.index(events, "event_type", "type_code", order="alphabetAsc")
+
+
+@query("index_household_join", f"""
+WITH {READINGS_SQL},
+codes AS (
+  SELECT {HOUSEHOLD}, COUNT(*) AS n,
+         CAST(row_number() OVER (ORDER BY COUNT(*) DESC, {HOUSEHOLD}) - 1 AS DOUBLE) AS LCL_cat
+  FROM readings GROUP BY {HOUSEHOLD})
+SELECT {HOUSEHOLD}, LCL_cat, n FROM codes""")
+def index_household_join(spark, sf_dir):
+    """Household codes by the join path that has no driver-side label list."""
+    coded = ML.index_by_join(_readings(spark, sf_dir), HOUSEHOLD, "LCL_cat")
+    return coded.groupBy(HOUSEHOLD, "LCL_cat").agg(F.count(F.lit(1)).alias("n"))
+
+
+_GROUP_CODES_SQL = f"""group_codes AS (
+  SELECT {GROUP}, row_number() OVER (ORDER BY COUNT(*) DESC, {GROUP}) - 1 AS Acorn_cat
+  FROM readings GROUP BY {GROUP})"""
+
+_HOUSEHOLD_CODES_SQL = f"""household_codes AS (
+  SELECT {HOUSEHOLD}, row_number() OVER (ORDER BY COUNT(*) DESC, {HOUSEHOLD}) - 1 AS LCL_cat
+  FROM readings GROUP BY {HOUSEHOLD})"""
+
+
+@query("ols_group_code", f"""
+WITH {READINGS_SQL}, {_GROUP_CODES_SQL}
+SELECT ROUND(regr_slope({ENERGY}, Acorn_cat), 6) AS coef_Acorn_cat,
+       ROUND(regr_intercept({ENERGY}, Acorn_cat), 6) AS intercept
+FROM readings JOIN group_codes USING ({GROUP})""")
+def ols_group_code(spark, sf_dir):
+    """M1 + M2 + M4 with one feature: energy on the group code."""
+    coded = ML.index(_readings(spark, sf_dir).select(GROUP, ENERGY), GROUP, "Acorn_cat")
+    model = ML.linear_fit(coded, ["Acorn_cat"], ENERGY)
+    return _coefficients(spark, model, ["Acorn_cat"])
+
+
+@query("ols_household_group", f"""
+WITH {READINGS_SQL}, {_GROUP_CODES_SQL}, {_HOUSEHOLD_CODES_SQL},
+x AS (SELECT CAST(LCL_cat AS DOUBLE) AS a, CAST(Acorn_cat AS DOUBLE) AS b, {ENERGY} AS y
+      FROM readings JOIN group_codes USING ({GROUP}) JOIN household_codes USING ({HOUSEHOLD})),
+m AS (SELECT var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) AS sab,
+             covar_pop(a, y) AS say, covar_pop(b, y) AS sby,
+             avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM x),
+c AS (SELECT (sbb * say - sab * sby) / (saa * sbb - sab * sab) AS ca,
+             (saa * sby - sab * say) / (saa * sbb - sab * sab) AS cb, ma, mb, my FROM m)
+SELECT ROUND(ca, 6) AS coef_LCL_cat, ROUND(cb, 6) AS coef_Acorn_cat,
+       ROUND(my - ca * ma - cb * mb, 6) AS intercept FROM c""")
+def ols_household_group(spark, sf_dir):
+    """The original model: energy on (household code, group code), least squares."""
+    feats = ML.household_group_features(_readings(spark, sf_dir))
+    model = ML.linear_fit(feats, ["LCL_cat", "Acorn_cat"], ENERGY)
+    return _coefficients(spark, model, ["LCL_cat", "Acorn_cat"])
+
+
+@query("group_from_kwh", f"""
+WITH {READINGS_SQL}, {_GROUP_CODES_SQL},
+x AS (SELECT {ENERGY} AS k, CAST(Acorn_cat AS DOUBLE) AS g
+      FROM readings JOIN group_codes USING ({GROUP})),
+f AS (SELECT regr_slope(g, k) AS s, regr_intercept(g, k) AS i FROM x)
+SELECT ROUND(s, 6) AS coef_kwh, ROUND(i, 6) AS intercept,
+       ROUND(AVG((g - (i + s * k)) * (g - (i + s * k))), 6) AS mse
+FROM x, f GROUP BY s, i""")
+def group_from_kwh(spark, sf_dir):
+    """The social-group code predicted from energy, fitted and scored on all rows."""
+    coded = ML.index(_readings(spark, sf_dir).select(GROUP, ENERGY), GROUP, "Acorn_cat")
+    data = coded.withColumnRenamed(ENERGY, "kwh")
+    model = ML.linear_fit(data, ["kwh"], "Acorn_cat")
+    mse = model.summary.meanSquaredError
+    return spark.createDataFrame(
+        [(round(float(model.coefficients[0]), 6), round(float(model.intercept), 6),
+          round(float(mse), 6))], "coef_kwh double, intercept double, mse double")
+
+
+def _coefficients(spark, model, names):
+    values = [round(float(v), 6) for v in model.coefficients] + [round(float(model.intercept), 6)]
+    cols = [f"coef_{n}" for n in names] + ["intercept"]
+    return spark.createDataFrame([tuple(values)], ", ".join(f"{c} double" for c in cols))
+
+
+@query("model_comparison")
+def model_comparison(spark, sf_dir):
+    """M3 + M5-M9: four learners on a seeded 80/20 split, one score row per model."""
+    feats = ML.household_group_features(_readings(spark, sf_dir))
+    bins = ML.max_bins_for(feats, ["LCL_cat", "Acorn_cat"])
+    train, test = ML.random_split(feats.select("features", ENERGY), (0.8, 0.2), seed=42)
+    return ML.compare_models(spark, train, test, ENERGY, max_bins=bins)
+
+
+@query("label_encoded_regression")
+def label_encoded_regression(spark, sf_dir):
+    """Alphabetical codes of three columns, positional 80/20 split, MAE."""
+    r = _readings(spark, sf_dir)
+    order = [HOUSEHOLD, TIME, ENERGY, TARIFF, "Acorn", GROUP]
+    return ML.label_encoded_regression(spark, r, [GROUP, HOUSEHOLD, "Acorn"], ENERGY, order)
+
+
+@query("count_vector", """
+WITH words AS (SELECT unnest(string_split(text, ' ')) AS term FROM documents),
+counts AS (SELECT term, COUNT(*) AS term_count FROM words GROUP BY term)
+SELECT CAST(row_number() OVER (ORDER BY term_count DESC, term) - 1 AS INTEGER) AS term_index,
+       term, term_count
+FROM counts ORDER BY term_count DESC, term LIMIT 4""")
+def count_vector(spark, sf_dir):
+    """Vocabulary of the 4 most frequent tokens, with their corpus counts."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    model, _ = ML.count_vectorize(docs, "text", vocab_size=4, min_df=1.0)
+    vocab = spark.createDataFrame(list(enumerate(model.vocabulary)),
+                                  "term_index int, term string")
+    counts = (docs.select(F.explode(F.split("text", " ")).alias("term"))
+                  .join(F.broadcast(vocab), "term")  # at most vocab_size rows
+                  .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))
+    return vocab.join(counts, "term").select("term_index", "term", "term_count")
