@@ -562,3 +562,15 @@ def count_vector(spark, sf_dir):
                   .join(F.broadcast(vocab), "term")  # at most vocab_size rows
                   .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))
     return vocab.join(counts, "term").select("term_index", "term", "term_count")
+
+
+# ---- incremental load (§3.1 as a stream) -----------------------------------
+
+@query("streaming_ingest", _DROP_ANY_ORACLE)
+def streaming_ingest(spark, sf_dir):
+    """New CSV files -> schema -> drop incomplete rows -> Parquet, exactly once."""
+    from meterwise.streaming.ingest import ingest_available
+
+    raw_csv = SNK.write_csv(_gaps(spark, sf_dir), scratch_path(spark, "landing-csv"),
+                            header=True)
+    return ingest_available(spark, raw_csv, scratch_path(spark, "ingested-parquet"))
