@@ -24,7 +24,13 @@ def month_key(ts: str | Column) -> Column:
     :func:`month_start` instead.
     """
     ts = _c(ts)
-    return F.concat_ws("-", F.year(ts), F.month(ts))
+    return month_text(F.year(ts), F.month(ts))
+
+
+def month_text(year: str | Column, month: str | Column) -> Column:
+    """``year-month`` text from integer parts; null when either part is null."""
+    year, month = _c(year), _c(month)
+    return F.when(year.isNotNull() & month.isNotNull(), F.concat_ws("-", year, month))
 
 
 def month_key_formatted(ts: str | Column) -> Column:

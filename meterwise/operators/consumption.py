@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterwise.functions.calendar import month_key
+from meterwise.functions.calendar import month_text
 from meterwise.schemas import ENERGY, GROUP, TARIFF, TARIFF_FLAT, TARIFF_WARNED, TIME
 
 
@@ -118,12 +118,20 @@ def grand_total(df: DataFrame, value: str = ENERGY, exact_scale: int | None = 3)
 def monthly_mean(df: DataFrame, by: str = GROUP, value: str = ENERGY, ts: str = TIME,
                  name: str = "avg", digits: int | None = None) -> DataFrame:
     """Mean per (month key, ``by``), ordered by the month key as text (A3, O5, §3.2)."""
-    return (df.select(month_key(ts).alias("Month"), F.col(by), F.col(value))
-              .groupBy("Month", by)
+    # Group on integer (year, month) and format the text key only on the
+    # aggregated rows: no per-row string building in the scan stage.
+    return (_by_month_parts(df, ts, F.col(by), F.col(value))
+              .groupBy("_year", "_month", by)
               .agg(_round(F.avg(value), digits).alias(name))
+              .select(month_text("_year", "_month").alias("Month"), by, name)
               .orderBy("Month"))
 
 
+def _by_month_parts(df: DataFrame, ts: str, *cols: Column) -> DataFrame:
+    t = F.col(ts)
+    return df.select(F.year(t).alias("_year"), F.month(t).alias("_month"), *cols)
+
+
 def tariff_contrast(df: DataFrame, by_month: bool = True, value: str = ENERGY,
                     tariff: str = TARIFF, warned: str = TARIFF_WARNED,
                     flat: str = TARIFF_FLAT, ts: str = TIME,
@@ -140,8 +148,11 @@ def tariff_contrast(df: DataFrame, by_month: bool = True, value: str = ENERGY,
             _round(warned_avg - flat_avg, digits).alias("diff"),
             (warned_avg < flat_avg).alias("warned_below")]
     if by_month:
-        return (df.select(month_key(ts).alias("Month"), v, t)
-                  .groupBy("Month").agg(*aggs).orderBy("Month"))
+        names = ["avg_warned", "avg_flat", "diff", "warned_below"]
+        return (_by_month_parts(df, ts, v, t)
+                  .groupBy("_year", "_month").agg(*aggs)
+                  .select(month_text("_year", "_month").alias("Month"), *names)
+                  .orderBy("Month"))
     return df.agg(*aggs)
 
 

@@ -574,3 +574,14 @@ def streaming_ingest(spark, sf_dir):
     raw_csv = SNK.write_csv(_gaps(spark, sf_dir), scratch_path(spark, "landing-csv"),
                             header=True)
     return ingest_available(spark, raw_csv, scratch_path(spark, "ingested-parquet"))
+
+
+@query("tolerant_load", f"""
+WITH {GAPS_SQL}
+SELECT * FROM gaps""")
+def tolerant_load(spark, sf_dir):
+    """A file whose missing cells hold the text ``Null`` loads with them as null."""
+    path = scratch_path(spark, "marked-csv")
+    (_gaps(spark, sf_dir).write.mode("overwrite").option("header", True)
+        .option("nullValue", CL.NULL_MARKER).csv(path))
+    return SRC.read_tolerant_csv(spark, path, READING_SCHEMA)
