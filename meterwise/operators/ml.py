@@ -91,6 +91,19 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0
 
 # ---- models (M4-M9, M14) ---------------------------------------------------
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a frame that iterative learners re-read over all cores.
+
+    Only when it has fewer partitions than the cluster's default parallelism
+    (a small or single-file input); a large input already has enough partitions
+    and is left alone, so no extra shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def max_bins_for(df: DataFrame, categorical: Sequence[str], floor: int = 32) -> int:
     """``maxBins`` large enough for every categorical feature."""
     if not categorical:
@@ -162,7 +175,7 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     ensure_checkpoint_dir(spark)  # GBT checkpoints its lineage every 10 rounds
     learners = regressors(label, features, max_bins, seed)
     chosen = list(models) if models is not None else list(learners)
-    train, test = train.cache(), test.cache()
+    train, test = spread(train).cache(), test.cache()
     rows = []
     try:
         for name in chosen:
