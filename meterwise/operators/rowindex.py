@@ -24,7 +24,13 @@ _PID, _MID, _N, _OFF = "_ri_pid", "_ri_mid", "_ri_n", "_ri_offset"
 def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_index") -> DataFrame:
     """Append a 0-based position in ``order``; give ``order`` unique keys for a stable answer."""
     ensure_checkpoint_dir(df.sparkSession)
-    tagged = (df.orderBy(*order)
+    # A row-unique last sort key lets the range bounds split a run of equal keys
+    # (e.g. exact copies making up a third of the table) across tasks; rows tied
+    # on ``order`` are interchangeable to the caller, so the answer is unchanged.
+    tie = "_ri_tie"
+    tagged = (df.withColumn(tie, F.monotonically_increasing_id())
+                .orderBy(*order, F.col(tie))
+                .drop(tie)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id())
                 .checkpoint(eager=True))

@@ -19,7 +19,9 @@ def word_count(lines: DataFrame, col: str = "value", pattern: str = WORD_SEPARAT
     """``word string, count bigint`` for a one-line-per-row frame."""
     counts = (explode_words(lines, col, "word", pattern, drop_empty)
               .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
-    return counts.sort(F.col("count").desc()) if ordered else counts
+    # The word breaks ties: most distinct words share a count of 1, and a sort on
+    # the count alone would range-partition all of them into one task.
+    return counts.sort(F.col("count").desc(), F.col("word").asc()) if ordered else counts
 
 
 def word_count_of_texts(docs: DataFrame, col: str = "text", drop_empty: bool = False,

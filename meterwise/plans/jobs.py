@@ -8,6 +8,7 @@ a machine-local temporary folder, so a lost executor only re-runs its tasks.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterwise.operators.clean import drop_incomplete
 from meterwise.operators.wordcount import pair_text, word_count
@@ -42,7 +43,9 @@ def load_readings(spark: SparkSession, csv_path: str | list[str], parquet_path:
         # or two month folders instead of every task writing every month (file
         # explosion), and a month holding a third of the rows is split across
         # many tasks by the range bounds instead of landing in one.
-        laid_out = with_month_partitions(clean).repartitionByRange("year", "month", TIME)
+        # A row-unique trailing key also splits a single hot time stamp.
+        laid_out = (with_month_partitions(clean)
+                    .repartitionByRange("year", "month", TIME, F.monotonically_increasing_id()))
         write_parquet(laid_out, parquet_path, mode, ["year", "month"])
         staged = read_parquet(spark, parquet_path).drop("year", "month")
     else:

@@ -60,3 +60,8 @@ def test_multiline_cells_split_like_files(spark):
     assert {r.word: r["count"] for r in word_count_of_texts(docs).collect()} == TEXT_COUNTS
     plan = word_count_of_texts(docs)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan  # map-side combine before the shuffle
+
+
+def test_word_count_order_has_tie_breaker(spark):
+    lines = spark.createDataFrame([("c b a b",)], "value string")
+    assert [(r.word, r["count"]) for r in word_count(lines).collect()] == [("b", 2), ("a", 1), ("c", 1)]

@@ -123,3 +123,11 @@ def test_m13_count_vectorizer(spark):
 def test_m14_pipeline(table):
     fitted = ML.indexing_pipeline(ENERGY, max_bins=40).fit(table)
     assert fitted.transform(table).select("prediction").count() == table.count()
+
+
+def test_row_index_splits_a_hot_key(spark):
+    # Every row has the same order key: the tie-breaker still spreads them over tasks.
+    df = spark.range(0, 2000, numPartitions=4).select(F.lit(1).alias("k"), "id")
+    got = with_row_index(df, ["k"], "i")
+    assert sorted(r.i for r in got.select("i").collect()) == list(range(2000))
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
