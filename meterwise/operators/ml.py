@@ -48,6 +48,26 @@ def index(df: DataFrame, input_col: str, output_col: str, order: str = "frequenc
     return index_by_join(df, input_col, output_col, order)
 
 
+def index_many(df: DataFrame, input_cols: Sequence[str], output_cols: Sequence[str],
+               order: str = "frequencyDesc", max_labels: int = MAX_INDEXER_LABELS,
+               ) -> tuple[DataFrame, dict[str, int]]:
+    """Code several columns with one pass for the size check and one for the fit.
+
+    Returns the coded frame and the number of codes per output column (the
+    ``maxBins`` a tree needs, D13), so no further distinct count is run.
+    """
+    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in input_cols]).first()
+    if all(sizes[c] <= max_labels for c in input_cols):
+        model = StringIndexer(inputCols=list(input_cols), outputCols=list(output_cols),
+                              stringOrderType=order).fit(df)
+        return model.transform(df), {o: len(l) for o, l in zip(output_cols, model.labelsArray)}
+    coded, n_codes = df, {}
+    for c, o in zip(input_cols, output_cols):
+        coded = index_by_join(coded, c, o, order) if sizes[c] > max_labels else index(coded, c, o, order)
+        n_codes[o] = int(coded.agg(F.max(o)).first()[0]) + 1
+    return coded, n_codes
+
+
 def index_by_join(df: DataFrame, input_col: str, output_col: str,
                   order: str = "frequencyDesc") -> DataFrame:
     """Same codes as ``StringIndexer`` without a driver-side label list."""
@@ -189,12 +209,17 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     return spark.createDataFrame(rows, SCORE_SCHEMA)
 
 
-def household_group_features(readings: DataFrame, label: str = ENERGY) -> DataFrame:
-    """Codes of household and social group -> ``features``, energy -> ``label`` (§2.8)."""
-    coded = index(index(readings.select(HOUSEHOLD, GROUP, F.col(ENERGY).alias(label)),
-                        HOUSEHOLD, "LCL_cat"), GROUP, "Acorn_cat")
-    return assemble(coded, ["LCL_cat", "Acorn_cat"]).select("LCL_cat", "Acorn_cat",
-                                                           "features", label)
+def household_group_features(readings: DataFrame, label: str = ENERGY,
+                             with_sizes: bool = False):
+    """Codes of household and social group -> ``features``, energy -> ``label`` (§2.8).
+
+    With ``with_sizes`` also returns the code counts per feature (for ``maxBins``).
+    """
+    coded, sizes = index_many(readings.select(HOUSEHOLD, GROUP, F.col(ENERGY).alias(label)),
+                              [HOUSEHOLD, GROUP], ["LCL_cat", "Acorn_cat"])
+    feats = assemble(coded, ["LCL_cat", "Acorn_cat"]).select("LCL_cat", "Acorn_cat",
+                                                            "features", label)
+    return (feats, sizes) if with_sizes else feats
 
 
 def indexing_pipeline(label: str = ENERGY, max_bins: int = 32) -> Pipeline:
@@ -217,11 +242,8 @@ def label_encoded_regression(spark: SparkSession, readings: DataFrame,
                              columns: Sequence[str], label: str, order: Sequence[str],
                              fraction: float = 0.8) -> DataFrame:
     """M10 + M11 + M12: alphabetical codes, first 80 % in ``order`` to train, MAE on the rest."""
-    coded = readings
-    names = []
-    for c in columns:
-        coded = index(coded, c, f"{c}_code", order="alphabetAsc")
-        names.append(f"{c}_code")
+    names = [f"{c}_code" for c in columns]
+    coded, _ = index_many(readings, list(columns), names, order="alphabetAsc")
     train, test = positional_split(coded, order, fraction)
     model = linear_fit(train, names, label)
     preds = model.transform(assemble(test.select(*names, label), names))

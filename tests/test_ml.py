@@ -136,3 +136,12 @@ def test_row_index_splits_a_hot_key(spark):
         assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 1
     finally:
         spark.conf.set(key, "true")
+
+
+def test_index_many_matches_single_and_sizes(table):
+    coded, sizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"])
+    assert codes(coded, HOUSEHOLD, "h") == codes(ML.index(table, HOUSEHOLD, "h"), HOUSEHOLD, "h")
+    assert codes(coded, GROUP, "g") == codes(ML.index(table, GROUP, "g"), GROUP, "g")
+    assert sizes == {"h": 40, "g": 4}
+    joined, jsizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"], max_labels=10)
+    assert codes(joined, HOUSEHOLD, "h") == codes(coded, HOUSEHOLD, "h") and jsizes == sizes
