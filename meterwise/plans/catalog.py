@@ -585,3 +585,10 @@ def tolerant_load(spark, sf_dir):
     (_gaps(spark, sf_dir).write.mode("overwrite").option("header", True)
         .option("nullValue", CL.NULL_MARKER).csv(path))
     return SRC.read_tolerant_csv(spark, path, READING_SCHEMA)
+
+
+@query("analysis_job", _MONTHLY_TARIFF_ORACLE)
+def analysis_job(spark, sf_dir):
+    """§3.3 end to end: staged Parquet -> SQL over the view -> saved result."""
+    staged = SNK.write_parquet(_readings(spark, sf_dir), scratch_path(spark, "staged-readings"))
+    return J.analysis_job(spark, staged, scratch_path(spark, "monthly-tariff-means"))

@@ -81,3 +81,23 @@ def word_count_job(spark: SparkSession, text_path: str, out_csv: str | None = No
     if out_pairs is not None:
         write_text(counts.select(pair_text().alias("value")), out_pairs, mode="overwrite")
     return counts
+
+
+def analysis_job(spark: SparkSession, parquet_path: str, out_path: str | None = None,
+                 document_options: dict[str, str] | None = None,
+                 document_format: str = D.DEFAULT_FORMAT) -> DataFrame:
+    """§3.3: staged readings -> ``consumption`` view -> monthly tariff means -> save.
+
+    The result (one row per month and tariff) goes to Parquet and/or appends to
+    a named document collection; it is read back from Parquet when written.
+    """
+    from meterwise.plans import analysis
+
+    result = analysis.run_sql(spark, read_parquet(spark, parquet_path),
+                              analysis.MONTHLY_MEAN_BY_TARIFF_SQL)
+    if document_options is not None:
+        D.write_documents(result, document_options, mode="append", fmt=document_format)
+    if out_path is None:
+        return result
+    write_parquet(result, out_path, mode="overwrite")
+    return read_parquet(spark, out_path)
