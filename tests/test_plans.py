@@ -45,3 +45,12 @@ def test_top_k_is_not_a_full_sort(spark):
 def test_contrast_is_one_aggregate(spark):
     plan = plan_of(E.queries()["tariff_contrast_total"](spark, SF001))
     assert "Join" not in plan and plan.count("Exchange") == 1
+
+
+def test_energy_filter_pushed_on_staged_readings(spark, tmp_path):
+    from meterwise.operators import consumption as C
+    from meterwise.plans.standins import readings, table
+    from meterwise.sources import files, sinks
+    path = sinks.write_parquet(readings(table(spark, SF001, "lineitem")), str(tmp_path / "staged"))
+    plan = plan_of(C.above(files.read_parquet(spark, path), 1))
+    assert "GreaterThan(KWH_per_hh_per_30min,1.0)" in plan
