@@ -32,16 +32,18 @@ METRICS = ("mae", "rmse", "mse", "r2")
 # ---- indexing (M1, M10) ----------------------------------------------------
 
 def index(df: DataFrame, input_col: str, output_col: str, order: str = "frequencyDesc",
-          max_labels: int = MAX_INDEXER_LABELS) -> DataFrame:
+          max_labels: int | None = MAX_INDEXER_LABELS) -> DataFrame:
     """Code a string column 0, 1, 2, ... (M1; ``order='alphabetAsc'`` is M10).
 
     ``frequencyDesc`` gives the most frequent value code 0, ties alphabetically.
     Up to ``max_labels`` distinct values this is ``StringIndexer``; beyond that
     the same codes come from a distributed count + row index + join, so no
-    label list grows with the data on the driver.
+    label list grows with the data on the driver. ``max_labels=None`` skips the
+    size check (one pass over the column) when the caller knows the column is a
+    small closed set, such as a tariff or group code.
     """
-    n_distinct = df.agg(F.approx_count_distinct(input_col).alias("n")).first()["n"]
-    if n_distinct <= max_labels:
+    if max_labels is None or (
+            df.agg(F.approx_count_distinct(input_col).alias("n")).first()["n"] <= max_labels):
         model = StringIndexer(inputCol=input_col, outputCol=output_col,
                               stringOrderType=order).fit(df)
         return model.transform(df)
