@@ -56,7 +56,6 @@ def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MONTH_SQL = f"concat_ws('-', year({TIME}), month({TIME}))"
-READING_COLS_SQL = f"{HOUSEHOLD}, {TARIFF}, {TIME}, {ENERGY}, Acorn, {GROUP}"
 
 
 # ---- month / group / tariff means (A3, A7, A8, O4, O5, S11, S12) -----------
