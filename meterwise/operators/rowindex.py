@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.session import ensure_checkpoint_dir
+from meterwise.session import ensure_checkpoint_dir, shuffle_width
 
 _PID, _MID, _N, _OFF = "_ri_pid", "_ri_mid", "_ri_n", "_ri_offset"
 
@@ -28,8 +28,12 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     # (e.g. exact copies making up a third of the table) across tasks; rows tied
     # on ``order`` are interchangeable to the caller, so the answer is unchanged.
     tie = "_ri_tie"
+    keys = [*order, F.col(tie)]
+    # Global order = range partitions (sized to the input, see shuffle_width)
+    # each sorted locally; the same plan orderBy makes, with the width chosen.
     tagged = (df.withColumn(tie, F.monotonically_increasing_id())
-                .orderBy(*order, F.col(tie))
+                .repartitionByRange(shuffle_width(df), *keys)
+                .sortWithinPartitions(*keys)
                 .drop(tie)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id())

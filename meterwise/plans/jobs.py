@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meterwise.operators.clean import drop_incomplete
 from meterwise.operators.wordcount import pair_text, word_count
 from meterwise.schemas import PEOPLE_SCHEMA, READING_SCHEMA, TIME
+from meterwise.session import shuffle_width
 from meterwise.sources import documents as D
 from meterwise.sources.files import read_json, read_parquet, read_readings_csv, read_text
 from meterwise.sources.sinks import with_month_partitions, write_csv, write_parquet, write_text
@@ -45,7 +46,8 @@ def load_readings(spark: SparkSession, csv_path: str | list[str], parquet_path:
         # many tasks by the range bounds instead of landing in one.
         # A row-unique trailing key also splits a single hot time stamp.
         laid_out = (with_month_partitions(clean)
-                    .repartitionByRange("year", "month", TIME, F.monotonically_increasing_id()))
+                    .repartitionByRange(shuffle_width(clean), "year", "month", TIME,
+                                        F.monotonically_increasing_id()))
         write_parquet(laid_out, parquet_path, mode, ["year", "month"])
         staged = read_parquet(spark, parquet_path).drop("year", "month")
     else:

@@ -92,3 +92,16 @@ def output_root(spark: SparkSession) -> str:
     """Where job outputs go unless the caller names a path."""
     root = os.environ.get("METERWISE_OUTPUT_ROOT")
     return root.rstrip("/") if root else scratch_path(spark, "out")
+
+
+def shuffle_width(df) -> int:
+    """Partition count for a shuffle that moves every row of ``df``.
+
+    As many partitions as the input has splits (each about
+    ``spark.sql.files.maxPartitionBytes``), and never fewer than
+    ``spark.sql.shuffle.partitions``: a full-data sort or layout then keeps
+    partitions near the split size at any scale, instead of squeezing 100 TB
+    into the fixed shuffle-partition count. Only plans the query; runs no job.
+    """
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, df.rdd.getNumPartitions())
