@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwise.functions.calendar import with_calendar
+from meterwise.functions.calendar import formatted_number, with_calendar
 from meterwise.operators import clean as CL
 from meterwise.operators import consumption as C
 from meterwise.operators import ml as ML
@@ -635,3 +635,13 @@ def analysis_job(spark, sf_dir):
     """§3.3 end to end: staged Parquet -> SQL over the view -> saved result."""
     staged = SNK.write_parquet(_readings(spark, sf_dir), scratch_path(spark, "staged-readings"))
     return J.analysis_job(spark, staged, scratch_path(spark, "monthly-tariff-means"))
+
+
+@query("total_by_group_formatted", f"""
+WITH {READINGS_SQL}
+SELECT {GROUP}, format('{{:,.2f}}', CAST(SUM(CAST({ENERGY} AS DECIMAL(18,3))) AS DOUBLE)) AS TotalKWH_text
+FROM readings GROUP BY 1""")
+def total_by_group_formatted(spark, sf_dir):
+    """Group totals as display text with thousands separators."""
+    totals = C.sum_by(_readings(spark, sf_dir), GROUP, ENERGY, "TotalKWH", exact_scale=3)
+    return totals.select(GROUP, formatted_number("TotalKWH", 2).alias("TotalKWH_text"))
