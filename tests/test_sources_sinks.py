@@ -175,3 +175,18 @@ def test_etl_job_stages_and_reads_back(spark, out):
     assert staged.count() == N_ROWS - 4
     plan = staged._jdf.queryExecution().executedPlan().toString()
     assert "csv" not in plan.lower()  # later actions read the Parquet copy only
+
+
+def test_fixture_d_float_energy_becomes_double(spark, out):
+    float_schema = reading_schema(energy_type=T.FloatType())
+    df = files.read_readings_csv(spark, meter_csv(out), float_schema)
+    assert df.schema[ENERGY].dataType == T.FloatType()
+    prepared = documents.prepare_for_documents(df)
+    assert prepared.schema[ENERGY].dataType == T.DoubleType()
+    assert prepared.filter(F.col(ENERGY) > 6.5).count() == 3
+
+
+def test_exact_duplicates_are_kept(spark, out):
+    df = files.read_readings_csv(spark, meter_csv(out))
+    dup = df.filter((F.col(HOUSEHOLD) == "MAC000034") & (F.col("stdorToU") == "ToU"))
+    assert dup.count() == 2 and dup.distinct().count() == 1
