@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import CountVectorizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
@@ -35,37 +35,67 @@ def index(df: DataFrame, input_col: str, output_col: str, order: str = "frequenc
           max_labels: int | None = MAX_INDEXER_LABELS) -> DataFrame:
     """Code a string column 0, 1, 2, ... (M1; ``order='alphabetAsc'`` is M10).
 
-    ``frequencyDesc`` gives the most frequent value code 0, ties alphabetically.
-    Up to ``max_labels`` distinct values this is ``StringIndexer``; beyond that
-    the same codes come from a distributed count + row index + join, so no
-    label list grows with the data on the driver. ``max_labels=None`` skips the
-    size check (one pass over the column) when the caller knows the column is a
-    small closed set, such as a tariff or group code.
+    ``frequencyDesc`` gives the most frequent value code 0, ties alphabetically,
+    exactly as ``StringIndexer``. See :func:`index_many`.
     """
-    if max_labels is None or (
-            df.agg(F.approx_count_distinct(input_col).alias("n")).first()["n"] <= max_labels):
-        model = StringIndexer(inputCol=input_col, outputCol=output_col,
-                              stringOrderType=order).fit(df)
-        return model.transform(df)
-    return index_by_join(df, input_col, output_col, order)
+    return index_many(df, [input_col], [output_col], order, max_labels)[0]
+
+
+def _value_counts(df: DataFrame, input_cols: Sequence[str]) -> DataFrame:
+    """(column position, value, frequency) for every column in one aggregate pass."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_col"), F.col(c).cast("string").alias("_value"))
+        for i, c in enumerate(input_cols)]))
+    return (df.select(pairs.alias("_p")).select("_p.*")
+              .filter(F.col("_value").isNotNull())
+              .groupBy("_col", "_value").agg(F.count(F.lit(1)).alias("_freq")))
+
+
+def _label_order(order: str):
+    # StringIndexer compares strings as Java does (UTF-16 code units); the
+    # big-endian UTF-16 bytes sort the same way.
+    def text(v: str) -> bytes:
+        return v.encode("utf-16-be")
+    return {
+        "frequencyDesc": lambda r: (-r[1], text(r[0])),
+        "frequencyAsc": lambda r: (r[1], text(r[0])),
+        "alphabetAsc": lambda r: text(r[0]),
+        "alphabetDesc": lambda r: tuple(-b for b in text(r[0])) + (1,),
+    }[order]
 
 
 def index_many(df: DataFrame, input_cols: Sequence[str], output_cols: Sequence[str],
-               order: str = "frequencyDesc", max_labels: int = MAX_INDEXER_LABELS,
+               order: str = "frequencyDesc", max_labels: int | None = MAX_INDEXER_LABELS,
                ) -> tuple[DataFrame, dict[str, int]]:
-    """Code several columns with one pass for the size check and one for the fit.
-
+    """Code several string columns with one pass over the data.
+
+    One distributed aggregate counts the values of all columns; at most
+    ``max_labels`` per column (plus one, to detect overflow) reach the driver,
+    where they become the label lists of a ``StringIndexerModel`` - the same
+    codes ``StringIndexer.fit`` would give, without its separate pass. A column
+    with more distinct values is coded by a distributed count + row index + join
+    instead (:func:`index_by_join`), so no unbounded list reaches the driver.
+    ``max_labels=None`` means the caller vouches the columns are small.
     Returns the coded frame and the number of codes per output column (the
-    ``maxBins`` a tree needs, D13), so no further distinct count is run.
+    ``maxBins`` a tree needs, D13).
     """
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in input_cols]).first()
-    if all(sizes[c] <= max_labels for c in input_cols):
-        model = StringIndexer(inputCols=list(input_cols), outputCols=list(output_cols),
-                              stringOrderType=order).fit(df)
-        return model.transform(df), {o: len(l) for o, l in zip(output_cols, model.labelsArray)}
+    cols, outs = list(input_cols), list(output_cols)
+    counts = _value_counts(df, cols)
+    bound = None if max_labels is None else max_labels * len(cols) + 1
+    rows = (counts.limit(bound) if bound is not None else counts).collect()
+    per_col: dict[int, list[tuple[str, int]]] = {i: [] for i in range(len(cols))}
+    for r in rows:
+        per_col[r["_col"]].append((r["_value"], r["_freq"]))
+    overflow = bound is not None and (
+        len(rows) >= bound or any(len(v) > max_labels for v in per_col.values()))
+    if not overflow:
+        key = _label_order(order)
+        arrays = [[v for v, _ in sorted(per_col[i], key=key)] for i in range(len(cols))]
+        model = StringIndexerModel.from_arrays_of_labels(arrays, inputCols=cols, outputCols=outs)
+        return model.transform(df), {o: len(a) for o, a in zip(outs, arrays)}
     coded, n_codes = df, {}
-    for c, o in zip(input_cols, output_cols):
-        coded = index_by_join(coded, c, o, order) if sizes[c] > max_labels else index(coded, c, o, order)
+    for c, o in zip(cols, outs):
+        coded = index_by_join(coded, c, o, order)
         n_codes[o] = int(coded.agg(F.max(o)).first()[0]) + 1
     return coded, n_codes
 

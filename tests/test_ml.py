@@ -145,3 +145,12 @@ def test_index_many_matches_single_and_sizes(table):
     assert sizes == {"h": 40, "g": 4}
     joined, jsizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"], max_labels=10)
     assert codes(joined, HOUSEHOLD, "h") == codes(coded, HOUSEHOLD, "h") and jsizes == sizes
+
+
+@pytest.mark.parametrize("order", ["frequencyDesc", "frequencyAsc", "alphabetAsc", "alphabetDesc"])
+def test_one_pass_index_equals_fitted_string_indexer(spark, table, order):
+    from pyspark.ml.feature import StringIndexer
+    words = spark.createDataFrame([(v,) for v in ["b", "ab", "abc", "B", "é", "ab", "b", "z", "ab"]], "v string")
+    for df, col in ((table, HOUSEHOLD), (table, GROUP), (words, "v")):
+        fitted = StringIndexer(inputCol=col, outputCol="c", stringOrderType=order).fit(df).transform(df)
+        assert codes(ML.index(df, col, "c", order=order), col, "c") == codes(fitted, col, "c")
