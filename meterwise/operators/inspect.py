@@ -65,3 +65,17 @@ def schema_profile(df: DataFrame) -> DataFrame:
 def shape(df: DataFrame) -> tuple[int, int]:
     """(rows, columns), like pandas ``shape``."""
     return df.count(), len(df.columns)
+
+
+def small_frame(spark, rows, schema: T.StructType) -> DataFrame:
+    """A frame of a few driver-side values (metrics, coefficients, a vocabulary).
+
+    Built from literals on the JVM side (``range(1)`` + ``inline``), so no Python
+    worker is started and no RDD is parallelised for a handful of numbers.
+    """
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields)]) for row in rows]
+    if not structs:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                       for f in schema.fields])
+    return spark.range(1).select(F.inline(F.array(*structs)))

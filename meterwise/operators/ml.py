@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterwise.operators.inspect import small_frame
 from meterwise.operators.rowindex import positional_split, with_row_index
 from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD
 from meterwise.session import ensure_checkpoint_dir
@@ -238,7 +239,7 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     finally:
         train.unpersist()
         test.unpersist()
-    return spark.createDataFrame(rows, SCORE_SCHEMA)
+    return small_frame(spark, rows, SCORE_SCHEMA)
 
 
 def household_group_features(readings: DataFrame, label: str = ENERGY,
@@ -280,9 +281,8 @@ def label_encoded_regression(spark: SparkSession, readings: DataFrame,
     model = linear_fit(train, names, label)
     preds = model.transform(assemble(test.select(*names, label), names))
     s = scores(preds, label)
-    return spark.createDataFrame(
-        [("linear_regression", s["mae"], s["rmse"], s["mse"], s["r2"], s["exact_share"],
-          s["n_test"])], SCORE_SCHEMA)
+    return small_frame(spark, [("linear_regression", s["mae"], s["rmse"], s["mse"], s["r2"],
+                                s["exact_share"], s["n_test"])], SCORE_SCHEMA)
 
 
 def count_vectorize(df: DataFrame, text_col: str, vocab_size: int = 4, min_df: float = 1.0,

@@ -13,12 +13,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterwise.functions.calendar import formatted_number, with_calendar
 from meterwise.operators import clean as CL
 from meterwise.operators import consumption as C
 from meterwise.operators import ml as ML
-from meterwise.operators.inspect import schema_profile
+from meterwise.operators.inspect import schema_profile, small_frame
 from meterwise.operators.wordcount import word_count_of_texts
 from meterwise.plans import analysis as AN
 from meterwise.plans import jobs as J
@@ -516,15 +517,19 @@ def group_from_kwh(spark, sf_dir):
     data = coded.withColumnRenamed(ENERGY, "kwh")
     model = ML.linear_fit(data, ["kwh"], "Acorn_cat")
     mse = model.summary.meanSquaredError
-    return spark.createDataFrame(
-        [(round(float(model.coefficients[0]), 6), round(float(model.intercept), 6),
-          round(float(mse), 6))], "coef_kwh double, intercept double, mse double")
+    return small_frame(spark, [(round(float(model.coefficients[0]), 6),
+                                round(float(model.intercept), 6), round(float(mse), 6))],
+                       _schema(["coef_kwh", "intercept", "mse"]))
 
 
 def _coefficients(spark, model, names):
     values = [round(float(v), 6) for v in model.coefficients] + [round(float(model.intercept), 6)]
     cols = [f"coef_{n}" for n in names] + ["intercept"]
-    return spark.createDataFrame([tuple(values)], ", ".join(f"{c} double" for c in cols))
+    return small_frame(spark, [tuple(values)], _schema(cols))
+
+
+def _schema(double_cols):
+    return T.StructType([T.StructField(c, T.DoubleType()) for c in double_cols])
 
 
 @query("model_comparison")
@@ -598,8 +603,9 @@ def count_vector(spark, sf_dir):
     """Vocabulary of the 4 most frequent tokens, with their corpus counts."""
     docs = table(spark, sf_dir, "documents").select("text")
     model, _ = ML.count_vectorize(docs, "text", vocab_size=4, min_df=1.0)
-    vocab = spark.createDataFrame(list(enumerate(model.vocabulary)),
-                                  "term_index int, term string")
+    vocab = small_frame(spark, list(enumerate(model.vocabulary)),
+                        T.StructType([T.StructField("term_index", T.IntegerType()),
+                                      T.StructField("term", T.StringType())]))
     counts = (docs.select(F.explode(F.split("text", " ")).alias("term"))
                   .join(F.broadcast(vocab), "term")  # at most vocab_size rows
                   .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))

@@ -24,3 +24,15 @@ def test_k10_profile_and_shape(spark):
 def test_k9_show(spark, capsys):
     I.show(spark.range(2), 1)
     assert "only showing top 1 row" in capsys.readouterr().out
+
+
+def test_small_frame_is_jvm_side(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("m", T.StringType()), T.StructField("v", T.DoubleType()),
+                           T.StructField("n", T.LongType())])
+    df = I.small_frame(spark, [("a", 1.5, 3), ("b", None, 4)], schema)
+    assert df.schema.simpleString() == schema.simpleString()
+    assert [tuple(r) for r in df.collect()] == [("a", 1.5, 3), ("b", None, 4)]
+    assert I.small_frame(spark, [], schema).count() == 0
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Scan ExistingRDD" not in plan

@@ -7,16 +7,11 @@ from conftest import SF001
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                 "PythonUDF")
-NO_WRITE = [n for n in E.queries() if not any(
-    w in n for w in ("round_trip", "etl", "rename", "range", "text_file", "streaming",
-                     "model", "ols", "index", "regression", "vector", "kwh"))]
-
-
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", NO_WRITE)
+@pytest.mark.parametrize("name", sorted(E.queries()))
 def test_no_python_in_plan(spark, name):
     plan = plan_of(E.queries()[name](spark, SF001))
     assert not any(node in plan for node in PYTHON_NODES), plan
