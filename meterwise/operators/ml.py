@@ -145,7 +145,7 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0
 # ---- models (M4-M9, M14) ---------------------------------------------------
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a frame that iterative learners re-read over all cores.
+    """Spread a frame that learners re-read, or that costs much CPU per row, over all cores.
 
     Only when it has fewer partitions than the cluster's default parallelism
     (a small or single-file input); a large input already has enough partitions
@@ -228,7 +228,7 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     ensure_checkpoint_dir(spark)  # GBT checkpoints its lineage every 10 rounds
     learners = regressors(label, features, max_bins, seed)
     chosen = list(models) if models is not None else list(learners)
-    train, test = spread(train).cache(), test.cache()
+    train, test = spread(train).cache(), spread(test).cache()
     rows = []
     try:
         for name in chosen:
@@ -288,7 +288,8 @@ def label_encoded_regression(spark: SparkSession, readings: DataFrame,
 def count_vectorize(df: DataFrame, text_col: str, vocab_size: int = 4, min_df: float = 1.0,
                     pattern: str = " "):
     """``split`` to an array, then ``CountVectorizer`` (M13); returns (model, vectors)."""
-    arr = df.withColumn("_tokens", F.split(F.col(text_col), pattern))
+    # The fit builds a term map per document (CPU-heavy): give it every core.
+    arr = spread(df).withColumn("_tokens", F.split(F.col(text_col), pattern))
     model = CountVectorizer(inputCol="_tokens", outputCol="counts", vocabSize=vocab_size,
                             minDF=min_df).fit(arr)
     return model, model.transform(arr).drop("_tokens")

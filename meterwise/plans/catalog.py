@@ -537,7 +537,7 @@ def model_comparison(spark, sf_dir):
     """M3 + M5-M9: four learners on a seeded 80/20 split, one score row per model."""
     feats, sizes = ML.household_group_features(_readings(spark, sf_dir), with_sizes=True)
     bins = max([32] + list(sizes.values()))
-    train, test = ML.random_split(feats.select("features", ENERGY), (0.8, 0.2), seed=42)
+    train, test = ML.random_split(ML.spread(feats.select("features", ENERGY)), (0.8, 0.2), seed=42)
     return ML.compare_models(spark, train, test, ENERGY, max_bins=bins)
 
 
