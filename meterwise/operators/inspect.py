@@ -7,7 +7,6 @@ distributed ``count`` of at most ``max_rows + 1`` rows before collecting.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -3,7 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
 
 from fixtures import TEXT_COUNTS, TEXT_LINES, write_lines
 from meterwise.functions import calendar as cal
