@@ -32,6 +32,12 @@ def main(argv: list[str] | None = None) -> None:
     wc.add_argument("text")
     wc.add_argument("out_csv")
     wc.add_argument("--pairs")
+    wc.add_argument("--documents", metavar="HOST/DB.COLLECTION")
+
+    exp = sub.add_parser("export", help="staged Parquet -> count -> document collection")
+    exp.add_argument("parquet")
+    exp.add_argument("documents", metavar="HOST/DB.COLLECTION")
+    exp.add_argument("--format", default="mongodb", help="connector format name")
 
     ppl = sub.add_parser("people", help="JSON -> Parquet -> teenagers by SQL -> CSV")
     ppl.add_argument("json")
@@ -56,7 +62,12 @@ def main(argv: list[str] | None = None) -> None:
         elif ap.job == "analyze":
             jobs.analysis_job(spark, ap.parquet, ap.out, doc_options(ap.documents)).show()
         elif ap.job == "wordcount":
-            jobs.word_count_job(spark, ap.text, ap.out_csv, ap.pairs).show()
+            jobs.word_count_job(spark, ap.text, ap.out_csv, ap.pairs,
+                                doc_options(ap.documents)).show()
+        elif ap.job == "export":
+            n = jobs.export_documents(spark, ap.parquet, doc_options(ap.documents),
+                                      document_format=ap.format)
+            print(f"{n} rows sent")
         elif ap.job == "people":
             jobs.people_job(spark, ap.json, ap.parquet, ap.out_csv).show()
     finally:

@@ -190,3 +190,10 @@ def test_exact_duplicates_are_kept(spark, out):
     df = files.read_readings_csv(spark, meter_csv(out))
     dup = df.filter((F.col(HOUSEHOLD) == "MAC000034") & (F.col("stdorToU") == "ToU"))
     assert dup.count() == 2 and dup.distinct().count() == 1
+
+
+def test_export_documents_counts_then_needs_connector(spark, out):
+    staged = jobs.load_readings(spark, meter_csv(out), os.path.join(out, "stage"))
+    assert staged.count() == N_ROWS - 4
+    with pytest.raises(Exception):
+        jobs.export_documents(spark, os.path.join(out, "stage"), {"database": "power"})
