@@ -8,7 +8,6 @@ folder is used only when that setting is absent and Spark runs in local mode.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -88,12 +87,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def output_root(spark: SparkSession) -> str:
-    """Where job outputs go unless the caller names a path."""
-    root = os.environ.get("METERWISE_OUTPUT_ROOT")
-    return root.rstrip("/") if root else scratch_path(spark, "out")
-
-
 def shuffle_width(df) -> int:
     """Partition count for a shuffle that moves every row of ``df``.
 
