@@ -49,7 +49,11 @@ def to_day(ts: str | Column) -> Column:
 
 
 def with_calendar(df: DataFrame, ts: str = TIME, prefix: str = "") -> DataFrame:
-    """Append month, day, hour, year, day of year, ISO week, month key and month start."""
+    """Append month, day, hour, year, day of year, ISO week, month key and month start.
+
+    The text key is ``month_key`` here: Spark column names are case-insensitive,
+    so ``Month`` would clash with ``month``.
+    """
     t = F.col(ts)
     return df.select(
         "*",
@@ -59,7 +63,7 @@ def with_calendar(df: DataFrame, ts: str = TIME, prefix: str = "") -> DataFrame:
         F.year(t).alias(f"{prefix}year"),
         F.dayofyear(t).alias(f"{prefix}day_of_year"),
         F.weekofyear(t).alias(f"{prefix}week_of_year"),
-        month_key(t).alias(f"{prefix}Month"),
+        month_key(t).alias(f"{prefix}month_key"),
         month_start(t).alias(f"{prefix}month_start"),
     )
 

@@ -9,6 +9,7 @@ aggregate -> small sort).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterwise.functions.calendar import with_month
 from meterwise.operators import consumption as C
@@ -39,24 +40,35 @@ GROUP BY {TARIFF}
 ORDER BY avg_KWH DESC
 """
 
+# Monthly questions group on the integer year and month and build the text key
+# on the aggregated rows only (``||`` keeps a missing month null).
 MONTHLY_MEAN_BY_TARIFF_SQL = f"""
-SELECT Month, {TARIFF}, ROUND(AVG({ENERGY}), 4) AS avg_KWH
+SELECT CAST(year_num AS STRING) || '-' || CAST(month_num AS STRING) AS Month, {TARIFF},
+       ROUND(AVG({ENERGY}), 4) AS avg_KWH
 FROM {VIEW}
-GROUP BY Month, {TARIFF}
+GROUP BY year_num, month_num, {TARIFF}
 ORDER BY Month DESC
 """
 
 MONTHLY_MEAN_BY_GROUP_SQL = f"""
-SELECT Month, {GROUP}, ROUND(AVG({ENERGY}), 4) AS avg
+SELECT CAST(year_num AS STRING) || '-' || CAST(month_num AS STRING) AS Month, {GROUP},
+       ROUND(AVG({ENERGY}), 4) AS avg
 FROM {VIEW}
-GROUP BY Month, {GROUP}
+GROUP BY year_num, month_num, {GROUP}
 ORDER BY Month DESC
 """
 
 
 def prepare(readings: DataFrame) -> DataFrame:
-    """``withColumn('Month', ...)`` then drop household, time and fine group."""
-    return with_month(readings, TIME).drop(HOUSEHOLD, TIME, ACORN)
+    """``withColumn('Month', ...)`` then drop household, time and fine group.
+
+    Integer ``year_num`` and ``month_num`` are kept next to the text key so that
+    SQL can group on them (column names are case-insensitive, hence not
+    ``month``); columns a query does not use are pruned by Catalyst.
+    """
+    return (with_month(readings, TIME)
+            .withColumn("year_num", F.year(TIME)).withColumn("month_num", F.month(TIME))
+            .drop(HOUSEHOLD, TIME, ACORN))
 
 
 def register_consumption(readings: DataFrame) -> DataFrame:

@@ -306,7 +306,7 @@ SELECT event_id, ts,
        CAST(hour(ts) AS INTEGER) AS hour, CAST(year(ts) AS INTEGER) AS year,
        CAST(dayofyear(ts) AS INTEGER) AS day_of_year,
        CAST(weekofyear(ts) AS INTEGER) AS week_of_year,
-       concat_ws('-', year(ts), month(ts)) AS Month,
+       concat_ws('-', year(ts), month(ts)) AS month_key,
        CAST(date_trunc('month', ts) AS DATE) AS month_start
 FROM events""")
 def calendar_parts(spark, sf_dir):

@@ -15,7 +15,7 @@ def test_x1_x5_parts(spark):
     df = spark.createDataFrame([(dt.datetime(2013, 1, 5, 18, 30),)], "ts timestamp_ntz")
     r = cal.with_calendar(df, "ts").first()
     assert (r.month, r.day, r.hour, r.year, r.day_of_year, r.week_of_year) == (1, 5, 18, 2013, 5, 1)
-    assert r.Month == "2013-1" and r.month_start == dt.date(2013, 1, 1)
+    assert r.month_key == "2013-1" and r.month_start == dt.date(2013, 1, 1)
 
 
 def test_d15_zone_independent(spark):

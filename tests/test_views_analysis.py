@@ -23,7 +23,8 @@ def test_chart_frames_are_small_aggregates(spark):
     assert frames["total_by_group"].count() == 3
     # The drop in prepare() leaves only the columns the analysis needs (P5).
     prepared = analysis.prepare(readings(table(spark, SF001, "lineitem")))
-    assert prepared.columns == ["stdorToU", "KWH_per_hh_per_30min", "Acorn_grouped", "Month"]
+    assert prepared.columns == ["stdorToU", "KWH_per_hh_per_30min", "Acorn_grouped", "Month",
+                                "year_num", "month_num"]
 
 
 def test_s10_document_reader_needs_a_connector(spark):
