@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from meterwise.operators.inspect import small_frame
 from meterwise.operators.rowindex import positional_split, with_row_index
 from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD
-from meterwise.session import ensure_checkpoint_dir
+from meterwise.session import ensure_checkpoint_dir, input_partitions
 
 # Labels of one fitted StringIndexer sit in the driver and are shipped with the
 # transform; above this many distinct values codes are computed by a join.
@@ -152,7 +152,8 @@ def spread(df: DataFrame) -> DataFrame:
     and is left alone, so no extra shuffle is added at scale.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    n = input_partitions(df)  # None: already shuffled, width set by that shuffle
+    if n is not None and n < target:
         return df.repartition(target)
     return df
 

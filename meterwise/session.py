@@ -87,6 +87,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def input_partitions(df) -> int | None:
+    """Partition count of a frame that has no shuffle yet (its input splits).
+
+    Returns None when the plan already contains an exchange: asking such a plan
+    for its RDD would make adaptive execution run the shuffle stages just to
+    count partitions. Planning the query runs no job.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        return None
+    return df.rdd.getNumPartitions()
+
+
 def shuffle_width(df) -> int:
     """Partition count for a shuffle that moves every row of ``df``.
 
@@ -94,7 +107,7 @@ def shuffle_width(df) -> int:
     ``spark.sql.files.maxPartitionBytes``), and never fewer than
     ``spark.sql.shuffle.partitions``: a full-data sort or layout then keeps
     partitions near the split size at any scale, instead of squeezing 100 TB
-    into the fixed shuffle-partition count. Only plans the query; runs no job.
+    into the fixed shuffle-partition count. Runs no job.
     """
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, df.rdd.getNumPartitions())
+    return max(configured, input_partitions(df) or configured)

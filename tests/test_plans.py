@@ -49,3 +49,15 @@ def test_energy_filter_pushed_on_staged_readings(spark, tmp_path):
     path = sinks.write_parquet(readings(table(spark, SF001, "lineitem")), str(tmp_path / "staged"))
     plan = plan_of(C.above(files.read_parquet(spark, path), 1))
     assert "GreaterThan(KWH_per_hh_per_30min,1.0)" in plan
+
+
+def test_width_and_spread_run_no_job(spark):
+    from meterwise.operators.ml import spread
+    from meterwise.session import shuffle_width
+    st = spark.sparkContext.statusTracker()
+    lineitem = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    for df in (lineitem, lineitem.groupBy("l_suppkey").count()):
+        before = len(st.getJobIdsForGroup())
+        shuffle_width(df)
+        spread(df)
+        assert len(st.getJobIdsForGroup()) == before
