@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from meterwise.operators.clean import drop_incomplete
 from meterwise.operators.wordcount import pair_text, word_count
 from meterwise.schemas import PEOPLE_SCHEMA, READING_SCHEMA, TIME
-from meterwise.session import shuffle_width
+from meterwise.session import scratch_path, shuffle_width
 from meterwise.sources import documents as D
 from meterwise.sources.files import read_json, read_parquet, read_readings_csv, read_text
 from meterwise.sources.sinks import with_month_partitions, write_csv, write_parquet, write_text
@@ -77,10 +77,18 @@ def people_job(spark: SparkSession, json_path: str, parquet_path: str,
 def word_count_job(spark: SparkSession, text_path: str, out_csv: str | None = None,
                    out_pairs: str | None = None,
                    document_options: dict[str, str] | None = None,
-                   document_format: str = D.DEFAULT_FORMAT) -> DataFrame:
+                   document_format: str = D.DEFAULT_FORMAT,
+                   staging_path: str | None = None) -> DataFrame:
     """Text file -> words -> counts, descending -> CSV, ``(word, n)`` text and/or
-    a document collection (X10, K3, K6, K4)."""
-    counts = word_count(read_text(spark, text_path))
+    a document collection (X10, K3, K6, K4).
+
+    The counts are computed once and staged as Parquet (in the shared scratch
+    folder unless ``staging_path`` is given); every output and the returned
+    frame read that copy, so the corpus is scanned and aggregated one time only.
+    """
+    staged_path = write_parquet(word_count(read_text(spark, text_path), ordered=False),
+                                staging_path or scratch_path(spark, "word-counts"))
+    counts = read_parquet(spark, staged_path).sort(F.col("count").desc(), F.col("word").asc())
     if out_csv is not None:
         write_csv(counts, out_csv, mode="overwrite")
     if out_pairs is not None:
@@ -115,9 +123,10 @@ def analysis_job(spark: SparkSession, parquet_path: str, out_path: str | None =
 
     result = analysis.run_sql(spark, read_parquet(spark, parquet_path),
                               analysis.MONTHLY_MEAN_BY_TARIFF_SQL)
+    if out_path is not None:
+        # Aggregate once: the document copy is sent from the saved result.
+        write_parquet(result, out_path, mode="overwrite")
+        result = read_parquet(spark, out_path)
     if document_options is not None:
         D.write_documents(result, document_options, mode="append", fmt=document_format)
-    if out_path is None:
-        return result
-    write_parquet(result, out_path, mode="overwrite")
-    return read_parquet(spark, out_path)
+    return result
