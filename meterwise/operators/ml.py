@@ -91,9 +91,13 @@ def index_many(df: DataFrame, input_cols: Sequence[str], output_cols: Sequence[s
         len(rows) >= bound or any(len(v) > max_labels for v in per_col.values()))
     if not overflow:
         key = _label_order(order)
-        arrays = [[v for v, _ in sorted(per_col[i], key=key)] for i in range(len(cols))]
-        model = StringIndexerModel.from_arrays_of_labels(arrays, inputCols=cols, outputCols=outs)
-        return model.transform(df), {o: len(a) for o, a in zip(outs, arrays)}
+        coded = df
+        for i, (c, o) in enumerate(zip(cols, outs)):
+            # One model per column keeps each column's ML metadata exact (a
+            # multi-column model pads shorter label lists with nulls).
+            labels_i = [v for v, _ in sorted(per_col[i], key=key)]
+            coded = StringIndexerModel.from_labels(labels_i, inputCol=c, outputCol=o).transform(coded)
+        return coded, {o: len(per_col[i]) for i, o in enumerate(outs)}
     coded, n_codes = df, {}
     for c, o in zip(cols, outs):
         coded = index_by_join(coded, c, o, order)

@@ -2,9 +2,10 @@
 
 ``row_number() over (order by ...)`` with no partition key moves every row into
 one task. Here the frame is range-partitioned and sorted by ``order`` (a
-distributed sort), each row gets its in-partition position, the frame is
-checkpointed to the shared folder (fixing partition membership, and cutting the
-lineage so a lost executor does not re-run the sort), and a per-partition
+distributed sort), each row gets its partition and in-partition position as
+columns, the result is written as a table in the shared folder (fixing those
+values, and cutting the lineage so a lost executor does not re-run the sort),
+and a per-partition
 offset table - one row per partition, so its size is bounded by the partition
 count, not the data - turns local positions into global ones.
 """
@@ -16,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.session import ensure_checkpoint_dir, shuffle_width
+from meterwise.session import ensure_checkpoint_dir, scratch_path, shuffle_width
 
 _PID, _MID, _N, _OFF = "_ri_pid", "_ri_mid", "_ri_n", "_ri_offset"
 
@@ -31,13 +32,19 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
     keys = [*order, F.col(tie)]
     # Global order = range partitions (sized to the input, see shuffle_width)
     # each sorted locally; the same plan orderBy makes, with the width chosen.
-    tagged = (df.withColumn(tie, F.monotonically_increasing_id())
-                .repartitionByRange(shuffle_width(df), *keys)
-                .sortWithinPartitions(*keys)
-                .drop(tie)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_MID, F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    sorted_rows = (df.withColumn(tie, F.monotonically_increasing_id())
+                     .repartitionByRange(shuffle_width(df), *keys)
+                     .sortWithinPartitions(*keys)
+                     .drop(tie)
+                     .withColumn(_PID, F.spark_partition_id())
+                     .withColumn(_MID, F.monotonically_increasing_id()))
+    # A written table in the shared folder cuts the lineage in one job (a
+    # checkpoint would run the sort once to count and again to save). Partition
+    # and position are stored as columns, so how the table is read back later
+    # does not matter.
+    path = scratch_path(df.sparkSession, "row-index")
+    sorted_rows.write.mode("errorifexists").parquet(path)
+    tagged = df.sparkSession.read.parquet(path)
     # monotonically_increasing_id = (partition index << 33) + position in partition.
     offsets = (tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
                .withColumn(_OFF, F.coalesce(

@@ -154,3 +154,10 @@ def test_one_pass_index_equals_fitted_string_indexer(spark, table, order):
     for df, col in ((table, HOUSEHOLD), (table, GROUP), (words, "v")):
         fitted = StringIndexer(inputCol=col, outputCol="c", stringOrderType=order).fit(df).transform(df)
         assert codes(ML.index(df, col, "c", order=order), col, "c") == codes(fitted, col, "c")
+
+
+def test_index_many_metadata_is_exact_per_column(table):
+    coded, sizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"])
+    for col, n in sizes.items():
+        vals = coded.schema[col].metadata["ml_attr"]["vals"]
+        assert len(vals) == n and None not in vals
