@@ -61,3 +61,21 @@ def test_width_and_spread_run_no_job(spark):
         shuffle_width(df)
         spread(df)
         assert len(st.getJobIdsForGroup()) == before
+
+
+# Where a window or broadcast is allowed, and why its size is bounded:
+# index_household_join - the row-index offsets (one row per partition) and the
+#   code table (one row per distinct value, broadcast only under the size threshold);
+# count_vector - the vocabulary (vocab_size rows).
+BOUNDED = {"index_household_join": {"Window", "BroadcastExchange"},
+           "count_vector": {"BroadcastExchange"}}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_scale_rules(spark, name):
+    df = E.queries()[name](spark, SF001)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    for node in ("Window", "BroadcastExchange"):
+        if node in text:
+            assert node in BOUNDED.get(name, set()), f"{name} has an unexpected {node}"
