@@ -87,27 +87,35 @@ def index_many(df: DataFrame, input_cols: Sequence[str], output_cols: Sequence[s
     per_col: dict[int, list[tuple[str, int]]] = {i: [] for i in range(len(cols))}
     for r in rows:
         per_col[r["_col"]].append((r["_value"], r["_freq"]))
-    overflow = bound is not None and (
-        len(rows) >= bound or any(len(v) > max_labels for v in per_col.values()))
-    if not overflow:
-        key = _label_order(order)
-        coded = df
-        for i, (c, o) in enumerate(zip(cols, outs)):
+    # With the bound reached some lists may be cut short: then no list is trusted.
+    truncated = bound is not None and len(rows) >= bound
+    key = _label_order(order)
+    coded, n_codes = df, {}
+    for i, (c, o) in enumerate(zip(cols, outs)):
+        if truncated or (max_labels is not None and len(per_col[i]) > max_labels):
+            coded, n_codes[o] = _join_codes(coded, c, o, order)
+        else:
             # One model per column keeps each column's ML metadata exact (a
             # multi-column model pads shorter label lists with nulls).
             labels_i = [v for v, _ in sorted(per_col[i], key=key)]
             coded = StringIndexerModel.from_labels(labels_i, inputCol=c, outputCol=o).transform(coded)
-        return coded, {o: len(per_col[i]) for i, o in enumerate(outs)}
-    coded, n_codes = df, {}
-    for c, o in zip(cols, outs):
-        coded = index_by_join(coded, c, o, order)
-        n_codes[o] = int(coded.agg(F.max(o)).first()[0]) + 1
+            n_codes[o] = len(labels_i)
     return coded, n_codes
 
 
 def index_by_join(df: DataFrame, input_col: str, output_col: str,
                   order: str = "frequencyDesc") -> DataFrame:
     """Same codes as ``StringIndexer`` without a driver-side label list."""
+    return _join_codes(df, input_col, output_col, order)[0]
+
+
+def _join_codes(df: DataFrame, input_col: str, output_col: str,
+                order: str) -> tuple[DataFrame, int]:
+    """Code table from a distributed count + row index, joined back; and its size.
+
+    The code table is written once (inside the row index), so its row count is
+    read from that copy, not from another pass over ``df``.
+    """
     counts = df.filter(F.col(input_col).isNotNull()).groupBy(input_col).agg(
         F.count(F.lit(1)).alias("_freq"))
     keys = {
@@ -118,7 +126,7 @@ def index_by_join(df: DataFrame, input_col: str, output_col: str,
     }[order]
     codes = with_row_index(counts, keys, "_code").select(
         input_col, F.col("_code").cast("double").alias(output_col))
-    return df.join(codes, input_col, "left")
+    return df.join(codes, input_col, "left"), codes.count()
 
 
 def labels(df: DataFrame, input_col: str, order: str = "frequencyDesc") -> list[str]:

@@ -161,3 +161,14 @@ def test_index_many_metadata_is_exact_per_column(table):
     for col, n in sizes.items():
         vals = coded.schema[col].metadata["ml_attr"]["vals"]
         assert len(vals) == n and None not in vals
+
+
+def test_index_many_mixes_paths_per_column(table):
+    # 40 households exceed max_labels=39, the 4 groups do not: only the
+    # household column takes the join path; both give StringIndexer's codes.
+    coded, sizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"], max_labels=39)
+    assert sizes == {"h": 40, "g": 4}
+    assert "ml_attr" in coded.schema["g"].metadata and "ml_attr" not in coded.schema["h"].metadata
+    ref = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"])[0]
+    assert codes(coded, HOUSEHOLD, "h") == codes(ref, HOUSEHOLD, "h")
+    assert codes(coded, GROUP, "g") == codes(ref, GROUP, "g")
