@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from meterwise.llm.decontaminate import find_benchmark_text
 from meterwise.llm.line_dedup import dedup_lines
 from meterwise.llm.near_dup import near_duplicate_groups
+from meterwise.llm.quality_rules import quality_by_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +88,9 @@ FROM norm d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items t USING (do
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark_text(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op5_quality_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_by_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
