@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterwise.llm.decontaminate import find_benchmark_text
 from meterwise.llm.line_dedup import dedup_lines
+from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
 from meterwise.llm.quality_rules import quality_by_rules
 
@@ -94,3 +95,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_by_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+@query("op2_mix_sources")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
