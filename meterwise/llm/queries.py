@@ -14,6 +14,7 @@ from meterwise.llm.line_dedup import dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
 from meterwise.llm.quality_rules import quality_by_rules
+from meterwise.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +101,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_mix_sources")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_warc", r"""
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS payload_digest,
+           CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM w
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = write_archives(table(spark, sf_dir, "pages"))
+    return read_archives(spark, folder, manifest).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
