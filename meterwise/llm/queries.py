@@ -5,15 +5,18 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from meterwise.llm.decontaminate import find_benchmark_text
+from meterwise.llm.lang_id import identify_languages
 from meterwise.llm.line_dedup import dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
 from meterwise.llm.quality_rules import quality_by_rules
+from meterwise.llm.token_counts import load_vocabulary, token_counts
 from meterwise.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +120,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = write_archives(table(spark, sf_dir, "pages"))
     return read_archives(spark, folder, manifest).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = load_vocabulary(os.environ.get("TOKENIZER_MODEL", "/opt/tokenizers/piece_bpe_32k.model"))
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
