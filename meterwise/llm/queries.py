@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterwise.llm.decontaminate import find_benchmark_text
+from meterwise.llm.html_extract import extract_main_text
 from meterwise.llm.lang_id import identify_languages
 from meterwise.llm.line_dedup import dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
+from meterwise.llm.quality_classifier import classify_quality
 from meterwise.llm.quality_rules import quality_by_rules
 from meterwise.llm.token_counts import load_vocabulary, token_counts
 from meterwise.llm.warc import read_archives, write_archives
@@ -131,3 +133,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_language_id")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality_classifier")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return classify_quality(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query("op9_html_main_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
