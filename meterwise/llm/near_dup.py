@@ -13,8 +13,9 @@ Groups of any size stay linear. Documents with equal sets share one vertex.
 Buckets are then contracted in rounds: in each bucket the smallest vertex of
 every component is compared with that of the bucket's first component, and
 components merge, until no round merges any more. What is left are buckets that
-hold several components; only their pairs across components that pass the size
-and signature bounds are compared one by one, so no link is lost.
+hold several components. A vertex with fewer than 75 % of its shingles in any other
+vertex left can have no link and goes; of the others, pairs across components
+that pass the size and signature bounds are compared one by one, so no link is lost.
 """
 
 from __future__ import annotations
@@ -139,6 +140,18 @@ def _confirm(width: int, percent: int):
     return run
 
 
+def _shingle_rows(width: int):
+    """(node, shingle) rows of (node, text) rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = W.Hasher(lower=True)
+        for batch in batches:
+            for a, b, data, offsets in W.slices(batch.column(1)):
+                sets, bounds = shingle_sets(hasher, data, offsets, width)
+                take = pa.array(np.repeat(np.arange(a, b), np.diff(bounds)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(W.signed(sets))], names=["node", "x"])
+    return run
+
+
 def _distance(a: str, b: str):
     """Number of differing 4-bit symbols of two signatures, on the JVM."""
     total = F.lit(0)
@@ -238,10 +251,20 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
             F.struct(F.col("rep").alias("u"), F.col("v0").alias("v")),
             F.struct(F.col("top").alias("u"), F.col("v1").alias("v")))).alias("p")).select("p.u", "p.v").distinct())
 
-    # The rest: pairs across components of one bucket that pass the bounds.
-    side = placed.select("key", "node", "comp").join(sketch, "node")
+    # The rest: pairs across components of one bucket that pass the bounds. A vertex that
+    # shares too few of its shingles with all the others left can have no link: it goes.
+    left = texts.join(placed.select("node").distinct(), "node", "left_semi")
+    alone = (left.mapInArrow(_shingle_rows(width), "node long, x long").groupBy("x")
+             .agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+             .groupBy("node").agg(F.count("*").alias("alone")))
+    one_text = texts.groupBy("node").count().filter("count = 1").select("node")
+    bounded = (sketch.join(alone.join(one_text, "node", "left_semi"), "node", "left")
+               .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+               .filter(100 * F.col("shared") >= percent * F.col("n_shingles")))
+    side = scratch.stage(placed.select("key", "node", "comp").join(bounded, "node"), "rest")
     rest = (side.alias("x").join(side.alias("y"), (F.col("x.key") == F.col("y.key"))
-                                 & (F.col("x.comp") < F.col("y.comp")) & _close(percent))
+                                 & (F.col("x.comp") < F.col("y.comp")) & _close(percent)
+                                 & (100 * F.least("x.shared", "y.shared") >= percent * F.greatest("x.n_shingles", "y.n_shingles")))
             .select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct())
     labels, _ = merged(labels, rest)
 
