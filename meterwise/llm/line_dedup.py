@@ -24,12 +24,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import wordhash as W
+from meterwise.llm.packed import packed, unpack_texts
 from meterwise.llm.store import Scratch
 
 U = np.uint64
@@ -83,10 +83,11 @@ def _line_features(min_words: int):
 
 
 def _pick_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The wanted lines' texts (input: ord, rk, text, wanted)."""
+    """The wanted lines' texts (input: ord, rk, packed text, wanted)."""
     for batch in batches:
         out = {k: [] for k in ("ord", "rk", "line_no", "h", "line")}
-        for o, rk, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for o, rk, text, wanted in zip(*(batch.column(i).to_pylist() for i in (0, 1)), unpack_texts(batch.column(2)),
+                                       batch.column(3).to_pylist()):
             lines = text.split("\n")
             for w in wanted:
                 for k, v in zip(out, (o, rk, w["line_no"], w["h"], lines[w["line_no"]])):
@@ -141,15 +142,16 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0)], names=["h"]).filter(pa.array(ok, pa.bool_()))
 
 
-def _without(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
-    out, left = [], []
-    for text, numbers in zip(texts, gone):
-        if numbers is not None and len(numbers) and text is not None:
-            numbers = set(int(i) for i in numbers)
+def _without(packed_texts: pa.Array, gone: pa.Array) -> pa.Array:
+    """Texts without the lines of the given numbers, their number of lines, and whether a word is left."""
+    out = []
+    for text, numbers in zip(unpack_texts(packed_texts), gone.to_pylist()):
+        n = 0 if text is None else text.count("\n") + 1
+        if numbers and text is not None:
+            numbers = set(numbers)
             text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in numbers)
-        out.append(text)
-        left.append(text is not None and bool(text.strip(" \t\n\x0b\x0c\r")))
-    return pd.DataFrame({"text": out, "left": left})
+        out.append({"text": text, "n_lines": n, "left": bool(text and text.strip(" \t\n\x0b\x0c\r"))})
+    return pa.array(out, pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("left", pa.bool_())]))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -170,10 +172,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "line-dedup")
-    rows = docs.select(F.struct("*").alias("row"),
-                       F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)).alias("ord"),
-                       F.xxhash64(F.col(text_col)).alias("rk"), F.col(text_col).alias("text"))
-    slim = rows.select("ord", "rk", "text")
+    others = [c for c in docs.columns if c not in [*ADDED, text_col]]
+    text = F.col(f"`{text_col}`").cast("string")
+    slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)).alias("ord"),
+                       F.xxhash64(text).alias("rk"), text.alias("text"))
     lines = scratch.stage(slim.filter("text IS NOT NULL").mapInArrow(
         _line_features(min_words), "ord long, rk long, line_no int, h long, n int, k0 long, k1 long, k2 long, k3 long"), "lines")
     place = F.struct("ord", "rk", "line_no")
@@ -188,7 +190,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     paired = halves.join(shared, "key", "left_semi").select("h").distinct()
     wanted = (long.join(paired, "h", "left_semi").select("first.ord", "first.rk", "first.line_no", "h")
               .groupBy("ord", "rk").agg(F.collect_list(F.struct("line_no", "h")).alias("wanted")))
-    texts = scratch.stage(slim.join(wanted, ["ord", "rk"]).select("ord", "rk", "text", "wanted").mapInArrow(
+    texts = scratch.stage(slim.filter("text IS NOT NULL").select("ord", "rk", packed(F.col("text")).alias("text"))
+                          .join(wanted, ["ord", "rk"]).select("ord", "rk", "text", "wanted").mapInArrow(
         _pick_lines, "ord long, rk long, line_no int, h long, line string").dropDuplicates(["h"]), "paired")
 
     # Variants: equal ones at one place, and those equal to a whole line.
@@ -215,14 +218,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = Scratch(spark, "line-dedup-result").stage(gone, "gone")
     scratch.clear()
 
-    text = F.col(f"row.`{text_col}`")
-    cleaned = rows.drop("text").join(gone, ["ord", "rk"], "left").withColumn(
-        "new", F.pandas_udf(_without, "struct<text:string,left:boolean>")(text, "gone"))
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in others)).alias("row"),
+                       F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)).alias("ord"),
+                       F.xxhash64(text).alias("rk"), packed(text).alias("text"))
+    cleaned = rows.join(gone, ["ord", "rk"], "left").withColumn(
+        "new", F.arrow_udf(_without, "struct<text:string,n_lines:long,left:boolean>")("text", "gone"))
     n_gone = F.coalesce(F.size("gone"), F.lit(0)).cast("long")
     n_near = F.coalesce("n_near", F.lit(0)).cast("long")
-    kept = [c for c in docs.columns if c not in ADDED]
     return cleaned.select(
-        *(F.col("new.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in kept),
-        F.coalesce(F.length(text) - F.length(F.translate(text, "\n", "")) + 1, F.lit(0)).cast("long").alias("n_lines"),
-        (n_gone - n_near).alias("n_exact"), n_near.alias("n_near"),
+        *(F.col("new.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ADDED),
+        F.col("new.n_lines").alias("n_lines"), (n_gone - n_near).alias("n_exact"), n_near.alias("n_near"),
         ((n_gone > 0) & ~F.col("new.left")).alias("emptied"))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from meterwise.llm import wordhash as W
 from meterwise.llm.graph import components
+from meterwise.llm.packed import packed, unpack_texts
 from meterwise.llm.store import Scratch
 
 HASHES, CHUNK = 60, 5
@@ -145,7 +146,7 @@ def _confirm(width: int, percent: int):
             sides = []
             for col in (2, 3):
                 sets = []
-                for _, _, data, offsets in W.slices(batch.column(col)):
+                for _, _, data, offsets in W.slices(pa.array(unpack_texts(batch.column(col)), pa.string())):
                     s, bounds = shingle_sets(hasher, data, offsets, width)
                     sets += [s[bounds[r]:bounds[r + 1]] for r in range(len(offsets) - 1)]
                 sides.append(sets)
@@ -157,11 +158,11 @@ def _confirm(width: int, percent: int):
 
 
 def _shingle_rows(width: int):
-    """(node, shingle) rows of (node, text) rows."""
+    """(node, shingle) rows of (node, packed text) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.Hasher(lower=True)
         for batch in batches:
-            for a, b, data, offsets in W.slices(batch.column(1)):
+            for a, b, data, offsets in W.slices(pa.array(unpack_texts(batch.column(1)), pa.string())):
                 sets, bounds = shingle_sets(hasher, data, offsets, width)
                 take = pa.array(np.repeat(np.arange(a, b), np.diff(bounds)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(W.signed(sets))], names=["node", "x"])
@@ -221,7 +222,8 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     involved = rows.select("node").distinct()
     sketch = scratch.stage(linked.select(F.col("doc_id").alias("node"), "n_shingles", *SKETCH, "keys")
                            .join(involved, "node", "left_semi").distinct(), "sketches")
-    texts = scratch.stage(slim.withColumnRenamed("doc_id", "node").join(involved, "node", "left_semi"), "texts")
+    texts = scratch.stage(slim.filter("text IS NOT NULL").select(F.col("doc_id").alias("node"), packed(F.col("text")).alias("text"))
+                          .join(involved, "node", "left_semi"), "texts")
 
     def bounded_pairs(pairs: DataFrame) -> DataFrame:
         """The (u, v) pairs that pass the bounds."""
