@@ -27,10 +27,16 @@ def _round(c: Column, digits: int | None) -> Column:
     return F.round(c, digits) if digits is not None else c
 
 
-def exact_sum(col: str | Column, scale: int = 3) -> Column:
-    """Sum as a decimal, then back to double: independent of row order."""
+def exact_sum(col: str | Column, scale: int) -> Column:
+    """Sum as a decimal of ``scale`` places, then back to double: independent of row order.
+
+    A reading with more decimal places is an error, never rounded.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(T.DecimalType(28, scale))).cast("double")
+    exact = c.cast(T.DecimalType(28, scale))
+    fits = c.isNull() | (exact.cast("double") == c.cast("double"))
+    return F.sum(F.when(fits, exact).otherwise(F.raise_error(
+        F.format_string(f"%s has more than {scale} decimal places", c.cast("string"))))).cast("double")
 
 
 # ---- filters ---------------------------------------------------------------
@@ -109,7 +115,7 @@ def numeric_sums_by(df: DataFrame, keys: str | Sequence[str],
     return df.groupBy(*ks).agg(*aggs)
 
 
-def grand_total(df: DataFrame, value: str = ENERGY, exact_scale: int | None = 3) -> DataFrame:
+def grand_total(df: DataFrame, value: str = ENERGY, exact_scale: int | None = None) -> DataFrame:
     """Global ``agg({value: 'sum'})`` plus the row count (A5 + A1)."""
     total = exact_sum(value, exact_scale) if exact_scale is not None else F.sum(value)
     return df.agg(total.alias("total_kwh"), F.count(F.lit(1)).alias("n_rows"))

@@ -1,8 +1,8 @@
 """Looking at results without pulling tables to the driver.
 
 Only frames with a known small size may be collected: an aggregate over a
-bounded key set, or an explicit ``limit``. The helpers check the bound with a
-distributed ``count`` of at most ``max_rows + 1`` rows before collecting.
+bounded key set, or an explicit ``limit``. The caller states the bound; a helper
+fetches at most one row more, once, and refuses a larger frame.
 """
 
 from __future__ import annotations
@@ -17,22 +17,20 @@ class TooLargeToCollect(ValueError):
     pass
 
 
-def _check_bound(df: DataFrame, max_rows: int) -> None:
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
+def _bounded(rows, max_rows: int):
+    if len(rows) > max_rows:
         raise TooLargeToCollect(f"more than {max_rows} rows; aggregate or limit first")
+    return rows
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
+def to_pandas_bounded(df: DataFrame, max_rows: int):
     """``toPandas()`` of an already aggregated frame (K8)."""
-    _check_bound(df, max_rows)
-    return df.toPandas()
+    return _bounded(df.limit(max_rows + 1).toPandas(), max_rows)
 
 
-def collect_bounded(df: DataFrame, max_rows: int = 1_000):
+def collect_bounded(df: DataFrame, max_rows: int):
     """``collect()`` of at most ``max_rows`` rows."""
-    _check_bound(df, max_rows)
-    return df.collect()
+    return _bounded(df.limit(max_rows + 1).collect(), max_rows)
 
 
 def head(df: DataFrame, n: int = 20):

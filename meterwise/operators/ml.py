@@ -11,127 +11,69 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import CountVectorizer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterwise.operators.inspect import small_frame
+from meterwise.operators.inspect import collect_bounded, small_frame
 from meterwise.operators.rowindex import positional_split, with_row_index
 from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD
-from meterwise.session import ensure_checkpoint_dir, input_partitions
-
-# Labels of one fitted StringIndexer sit in the driver and are shipped with the
-# transform; above this many distinct values codes are computed by a join.
-MAX_INDEXER_LABELS = 100_000
+from meterwise.session import ensure_checkpoint_dir
 
 METRICS = ("mae", "rmse", "mse", "r2")
 
 
 # ---- indexing (M1, M10) ----------------------------------------------------
 
-def index(df: DataFrame, input_col: str, output_col: str, order: str = "frequencyDesc",
-          max_labels: int | None = MAX_INDEXER_LABELS) -> DataFrame:
+def index(df: DataFrame, input_col: str, output_col: str, order: str = "frequencyDesc") -> DataFrame:
     """Code a string column 0, 1, 2, ... (M1; ``order='alphabetAsc'`` is M10).
 
-    ``frequencyDesc`` gives the most frequent value code 0, ties alphabetically,
-    exactly as ``StringIndexer``. See :func:`index_many`.
+    ``frequencyDesc`` gives the most frequent value code 0, ties in code-point
+    order. See :func:`index_many`.
     """
-    return index_many(df, [input_col], [output_col], order, max_labels)[0]
-
+    return index_many(df, [input_col], [output_col], order)[0]
 
-def _value_counts(df: DataFrame, input_cols: Sequence[str]) -> DataFrame:
-    """(column position, value, frequency) for every column in one aggregate pass."""
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_col"), F.col(c).cast("string").alias("_value"))
-        for i, c in enumerate(input_cols)]))
-    return (df.select(pairs.alias("_p")).select("_p.*")
-              .filter(F.col("_value").isNotNull())
-              .groupBy("_col", "_value").agg(F.count(F.lit(1)).alias("_freq")))
 
+def code_table(df: DataFrame, input_col: str, order: str = "frequencyDesc") -> DataFrame:
+    """``(input_col, code, n)``: each value's code and how many rows have it.
 
-def _label_order(order: str):
-    # StringIndexer compares strings as Java does (UTF-16 code units); the
-    # big-endian UTF-16 bytes sort the same way.
-    def text(v: str) -> bytes:
-        return v.encode("utf-16-be")
-    return {
-        "frequencyDesc": lambda r: (-r[1], text(r[0])),
-        "frequencyAsc": lambda r: (r[1], text(r[0])),
-        "alphabetAsc": lambda r: text(r[0]),
-        "alphabetDesc": lambda r: tuple(-b for b in text(r[0])) + (1,),
+    A distributed count and row index; the table is written once to the shared folder.
+    """
+    counts = df.filter(F.col(input_col).isNotNull()).groupBy(input_col).agg(F.count(F.lit(1)).alias("n"))
+    keys = {
+        "frequencyDesc": [F.col("n").desc(), F.col(input_col).asc()],
+        "frequencyAsc": [F.col("n").asc(), F.col(input_col).asc()],
+        "alphabetAsc": [F.col(input_col).asc()],
+        "alphabetDesc": [F.col(input_col).desc()],
     }[order]
+    return with_row_index(counts, keys, "_code").select(input_col, F.col("_code").cast("double").alias("code"), "n")
 
 
 def index_many(df: DataFrame, input_cols: Sequence[str], output_cols: Sequence[str],
-               order: str = "frequencyDesc", max_labels: int | None = MAX_INDEXER_LABELS,
-               ) -> tuple[DataFrame, dict[str, int]]:
-    """Code several string columns with one pass over the data.
-
-    One distributed aggregate counts the values of all columns; at most
-    ``max_labels`` per column (plus one, to detect overflow) reach the driver,
-    where they become the label lists of a ``StringIndexerModel`` - the same
-    codes ``StringIndexer.fit`` would give, without its separate pass. A column
-    with more distinct values is coded by a distributed count + row index + join
-    instead (:func:`index_by_join`), so no unbounded list reaches the driver.
-    ``max_labels=None`` means the caller vouches the columns are small.
-    Returns the coded frame and the number of codes per output column (the
-    ``maxBins`` a tree needs, D13).
+               order: str = "frequencyDesc") -> tuple[DataFrame, dict[str, int]]:
+    """Code several string columns, each by a join with its code table.
+
+    One way at every size: Spark broadcasts a code table when its measured size is
+    below the threshold, and joins by shuffle (skewed keys split) when not; codes
+    and metadata are the same. A null value gets a null code. The output column
+    carries the ML metadata of a nominal attribute with its number of values.
+    Returns the coded frame and the number of codes per output column.
     """
-    cols, outs = list(input_cols), list(output_cols)
-    counts = _value_counts(df, cols)
-    bound = None if max_labels is None else max_labels * len(cols) + 1
-    rows = (counts.limit(bound) if bound is not None else counts).collect()
-    per_col: dict[int, list[tuple[str, int]]] = {i: [] for i in range(len(cols))}
-    for r in rows:
-        per_col[r["_col"]].append((r["_value"], r["_freq"]))
-    # With the bound reached some lists may be cut short: then no list is trusted.
-    truncated = bound is not None and len(rows) >= bound
-    key = _label_order(order)
     coded, n_codes = df, {}
-    for i, (c, o) in enumerate(zip(cols, outs)):
-        if truncated or (max_labels is not None and len(per_col[i]) > max_labels):
-            coded, n_codes[o] = _join_codes(coded, c, o, order)
-        else:
-            # One model per column keeps each column's ML metadata exact (a
-            # multi-column model pads shorter label lists with nulls).
-            labels_i = [v for v, _ in sorted(per_col[i], key=key)]
-            coded = StringIndexerModel.from_labels(labels_i, inputCol=c, outputCol=o).transform(coded)
-            n_codes[o] = len(labels_i)
+    for c, o in zip(input_cols, output_cols):
+        codes = code_table(df, c, order)
+        n_codes[o] = codes.count()
+        nominal = {"ml_attr": {"type": "nominal", "name": o, "num_vals": n_codes[o]}}
+        coded = coded.join(codes.select(c, F.col("code").alias(o)), c, "left").withColumn(o, F.col(o).alias(o, metadata=nominal))
     return coded, n_codes
 
 
-def index_by_join(df: DataFrame, input_col: str, output_col: str,
-                  order: str = "frequencyDesc") -> DataFrame:
-    """Same codes as ``StringIndexer`` without a driver-side label list."""
-    return _join_codes(df, input_col, output_col, order)[0]
-
-
-def _join_codes(df: DataFrame, input_col: str, output_col: str,
-                order: str) -> tuple[DataFrame, int]:
-    """Code table from a distributed count + row index, joined back; and its size.
-
-    The code table is written once (inside the row index), so its row count is
-    read from that copy, not from another pass over ``df``.
-    """
-    counts = df.filter(F.col(input_col).isNotNull()).groupBy(input_col).agg(
-        F.count(F.lit(1)).alias("_freq"))
-    keys = {
-        "frequencyDesc": [F.col("_freq").desc(), F.col(input_col).asc()],
-        "frequencyAsc": [F.col("_freq").asc(), F.col(input_col).asc()],
-        "alphabetAsc": [F.col(input_col).asc()],
-        "alphabetDesc": [F.col(input_col).desc()],
-    }[order]
-    codes = with_row_index(counts, keys, "_code").select(
-        input_col, F.col("_code").cast("double").alias(output_col))
-    return df.join(codes, input_col, "left"), codes.count()
-
-
-def labels(df: DataFrame, input_col: str, order: str = "frequencyDesc") -> list[str]:
-    """The class list of a fitted indexer, like sklearn's ``classes_``."""
-    return StringIndexer(inputCol=input_col, outputCol="_", stringOrderType=order).fit(df).labels
+def labels(df: DataFrame, input_col: str, max_labels: int, order: str = "frequencyDesc") -> list[str]:
+    """The values in code order, like sklearn's ``classes_`` (M10); refuses more than ``max_labels``."""
+    return [r[0] for r in collect_bounded(code_table(df, input_col, order).orderBy("code").select(input_col), max_labels)]
 
 
 # ---- features and splits (M2, M3, M11) -------------------------------------
@@ -148,36 +90,15 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], train_fraction: float = 0.8,
                buckets: int = 10_000):
-    """Split by a hash of key columns: the same rows land on the same side on any cluster."""
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(buckets))
+    """Split by an md5 of key columns: the same rows land on the same side on any cluster."""
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
+    h = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long") % buckets
     cut = int(buckets * train_fraction)
     return df.filter(h < cut), df.filter(h >= cut)
 
 
 # ---- models (M4-M9, M14) ---------------------------------------------------
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a frame that learners re-read, or that costs much CPU per row, over all cores.
-
-    Only when it has fewer partitions than the cluster's default parallelism
-    (a small or single-file input); a large input already has enough partitions
-    and is left alone, so no extra shuffle is added at scale.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    n = input_partitions(df)  # None: already shuffled, width set by that shuffle
-    if n is not None and n < target:
-        return df.repartition(target)
-    return df
-
-
-def max_bins_for(df: DataFrame, categorical: Sequence[str], floor: int = 32) -> int:
-    """``maxBins`` large enough for every categorical feature."""
-    if not categorical:
-        return floor
-    row = df.agg(*[F.countDistinct(c).alias(c) for c in categorical]).first()
-    return max([floor] + [int(row[c]) for c in categorical])
-
-
 def regressors(label: str, features: str = "features", max_bins: int = 32,
                seed: int = 42) -> dict:
     """The four compared learners with default settings, seeded, ``maxBins`` set."""
@@ -241,7 +162,7 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     ensure_checkpoint_dir(spark)  # GBT checkpoints its lineage every 10 rounds
     learners = regressors(label, features, max_bins, seed)
     chosen = list(models) if models is not None else list(learners)
-    train, test = spread(train).cache(), spread(test).cache()
+    train, test = train.cache(), test.cache()
     rows = []
     try:
         for name in chosen:
@@ -255,25 +176,38 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     return small_frame(spark, rows, SCORE_SCHEMA)
 
 
-def household_group_features(readings: DataFrame, label: str = ENERGY,
-                             with_sizes: bool = False):
+def household_group_features(readings: DataFrame, label: str = ENERGY, keep: Sequence[str] = ()) -> DataFrame:
     """Codes of household and social group -> ``features``, energy -> ``label`` (§2.8).
 
-    With ``with_sizes`` also returns the code counts per feature (for ``maxBins``).
+    The household code is used as a number at every size (its metadata is dropped),
+    so trees need no bin for each household; the group code stays nominal.
     """
-    coded, sizes = index_many(readings.select(HOUSEHOLD, GROUP, F.col(ENERGY).alias(label)),
-                              [HOUSEHOLD, GROUP], ["LCL_cat", "Acorn_cat"])
-    feats = assemble(coded, ["LCL_cat", "Acorn_cat"]).select("LCL_cat", "Acorn_cat",
-                                                            "features", label)
-    return (feats, sizes) if with_sizes else feats
+    coded, _ = index_many(readings.select(*dict.fromkeys([HOUSEHOLD, GROUP, *keep]), F.col(ENERGY).alias(label)),
+                          [HOUSEHOLD, GROUP], ["household_code", "group_code"])
+    numeric = coded.withColumn("household_code", F.col("household_code").alias("household_code", metadata={}))
+    return assemble(numeric, ["household_code", "group_code"]).select(
+        "household_code", "group_code", "features", *keep, label)
+
+
+def trees_on_group(readings: DataFrame, label: str = ENERGY) -> DataFrame:
+    """M6-M8 on the social group alone: ``(model, group, prediction)``, one row for each."""
+    coded, _ = index_many(readings.select(GROUP, label), [GROUP], ["group_code"])
+    train = assemble(coded, ["group_code"])
+    each = assemble(coded.select(GROUP, "group_code").distinct(), ["group_code"])
+    common = {"labelCol": label, "featuresCol": "features", "maxDepth": 3}
+    learners = {"decision_tree": DecisionTreeRegressor(**common),
+                "random_forest": RandomForestRegressor(numTrees=1, featureSubsetStrategy="all", bootstrap=False, **common),
+                "gbt": GBTRegressor(maxIter=1, **common)}
+    parts = [m.fit(train).transform(each).select(F.lit(name).alias("model"), GROUP, "prediction") for name, m in learners.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def indexing_pipeline(label: str = ENERGY, max_bins: int = 32) -> Pipeline:
     """Indexers + assembler + tree in one ``Pipeline``."""
     return Pipeline(stages=[
-        StringIndexer(inputCol=HOUSEHOLD, outputCol="LCL_cat"),
-        StringIndexer(inputCol=GROUP, outputCol="Acorn_cat"),
-        VectorAssembler(inputCols=["LCL_cat", "Acorn_cat"], outputCol="features"),
+        StringIndexer(inputCol=HOUSEHOLD, outputCol="household_code"),
+        StringIndexer(inputCol=GROUP, outputCol="group_code"),
+        VectorAssembler(inputCols=["household_code", "group_code"], outputCol="features"),
         DecisionTreeRegressor(labelCol=label, featuresCol="features", maxBins=max_bins),
     ])
 
@@ -301,8 +235,7 @@ def label_encoded_regression(spark: SparkSession, readings: DataFrame,
 def count_vectorize(df: DataFrame, text_col: str, vocab_size: int = 4, min_df: float = 1.0,
                     pattern: str = " "):
     """``split`` to an array, then ``CountVectorizer`` (M13); returns (model, vectors)."""
-    # The fit builds a term map per document (CPU-heavy): give it every core.
-    arr = spread(df).withColumn("_tokens", F.split(F.col(text_col), pattern))
+    arr = df.withColumn("_tokens", F.split(F.col(text_col), pattern))
     model = CountVectorizer(inputCol="_tokens", outputCol="counts", vocabSize=vocab_size,
                             minDF=min_df).fit(arr)
     return model, model.transform(arr).drop("_tokens")

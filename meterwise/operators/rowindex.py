@@ -52,7 +52,7 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
                    F.lit(0)))
                .select(_PID, _OFF))
     local = F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), _PID)
+    return (tagged.join(offsets, _PID)
                   .withColumn(name, F.col(_OFF) + local)
                   .drop(_PID, _MID, _OFF))
 

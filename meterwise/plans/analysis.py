@@ -17,24 +17,24 @@ from meterwise.schemas import ACORN, ENERGY, GROUP, HOUSEHOLD, TARIFF, TIME
 
 VIEW = "consumption"
 
-# The SQL questions over the ``consumption`` view. Sums are exact
-# decimal sums (D6); callers round averages where they compare them.
+# The SQL questions over the ``consumption`` view. Nothing is rounded
+# here; callers round results where they show or compare them.
 TOTAL_BY_GROUP_SQL = f"""
-SELECT {GROUP}, CAST(SUM(CAST({ENERGY} AS DECIMAL(28,3))) AS DOUBLE) AS TotalKWH
+SELECT {GROUP}, SUM({ENERGY}) AS TotalKWH
 FROM {VIEW}
 GROUP BY {GROUP}
 ORDER BY TotalKWH DESC
 """
 
 MEAN_BY_GROUP_SQL = f"""
-SELECT {GROUP}, ROUND(AVG({ENERGY}), 4) AS AvgKWH
+SELECT {GROUP}, AVG({ENERGY}) AS AvgKWH
 FROM {VIEW}
 GROUP BY {GROUP}
 ORDER BY AvgKWH DESC
 """
 
 MEAN_BY_TARIFF_SQL = f"""
-SELECT {TARIFF}, ROUND(AVG({ENERGY}), 4) AS avg_KWH
+SELECT {TARIFF}, AVG({ENERGY}) AS avg_KWH
 FROM {VIEW}
 GROUP BY {TARIFF}
 ORDER BY avg_KWH DESC
@@ -44,7 +44,7 @@ ORDER BY avg_KWH DESC
 # on the aggregated rows only (``||`` keeps a missing month null).
 MONTHLY_MEAN_BY_TARIFF_SQL = f"""
 SELECT CAST(year_num AS STRING) || '-' || CAST(month_num AS STRING) AS Month, {TARIFF},
-       ROUND(AVG({ENERGY}), 4) AS avg_KWH
+       AVG({ENERGY}) AS avg_KWH
 FROM {VIEW}
 GROUP BY year_num, month_num, {TARIFF}
 ORDER BY Month DESC
@@ -52,7 +52,7 @@ ORDER BY Month DESC
 
 MONTHLY_MEAN_BY_GROUP_SQL = f"""
 SELECT CAST(year_num AS STRING) || '-' || CAST(month_num AS STRING) AS Month, {GROUP},
-       ROUND(AVG({ENERGY}), 4) AS avg
+       AVG({ENERGY}) AS avg
 FROM {VIEW}
 GROUP BY year_num, month_num, {GROUP}
 ORDER BY Month DESC
@@ -83,21 +83,21 @@ def run_sql(spark: SparkSession, readings: DataFrame, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-def monthly_mean_by_group(readings: DataFrame, digits: int | None = 4) -> DataFrame:
+def monthly_mean_by_group(readings: DataFrame, digits: int | None = None) -> DataFrame:
     """``groupBy(['Month', group]).mean().orderBy('Month')`` with explicit names."""
     return C.monthly_mean(readings, GROUP, ENERGY, TIME, "avg", digits)
 
 
-def monthly_mean_by_tariff(readings: DataFrame, digits: int | None = 4) -> DataFrame:
+def monthly_mean_by_tariff(readings: DataFrame, digits: int | None = None) -> DataFrame:
     return C.monthly_mean(readings, TARIFF, ENERGY, TIME, "avg_KWH", digits)
 
 
-def chart_frames(readings: DataFrame, digits: int | None = 4) -> dict[str, DataFrame]:
+def chart_frames(readings: DataFrame, digits: int | None = None) -> dict[str, DataFrame]:
     """The four chart-ready aggregates of the analysis notebook (K8 after these)."""
     return {
         "monthly_mean_by_group": monthly_mean_by_group(readings, digits),
         "monthly_mean_by_tariff": monthly_mean_by_tariff(readings, digits),
-        "total_by_group": C.sum_by(readings, GROUP, ENERGY, "TotalKWH", exact_scale=3)
+        "total_by_group": C.sum_by(readings, GROUP, ENERGY, "TotalKWH")
                            .orderBy("TotalKWH", ascending=False),
         "mean_by_group": C.mean_by(readings, GROUP, ENERGY, "AvgKWH", digits)
                           .orderBy("AvgKWH", ascending=False),

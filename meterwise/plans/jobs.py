@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.operators.clean import drop_incomplete
+from meterwise.operators.consumption import in_range
 from meterwise.operators.wordcount import pair_text, word_count
 from meterwise.schemas import PEOPLE_SCHEMA, READING_SCHEMA, TIME
 from meterwise.session import scratch_path, shuffle_width
@@ -19,9 +20,6 @@ from meterwise.sources.files import read_json, read_parquet, read_readings_csv,
 from meterwise.sources.sinks import with_month_partitions, write_csv, write_parquet, write_text
 from pyspark.sql import types as T
 
-# Fixed value: the SQL of the people job.
-TEENAGERS_SQL = "SELECT name FROM parquetFile WHERE age >= 13 AND age <= 19"
-
 
 def load_readings(spark: SparkSession, csv_path: str | list[str], parquet_path: str,
                   schema: T.StructType = READING_SCHEMA, mode: str = "overwrite",
@@ -45,8 +43,11 @@ def load_readings(spark: SparkSession, csv_path: str | list[str], parquet_path:
         # explosion), and a month holding a third of the rows is split across
         # many tasks by the range bounds instead of landing in one.
         # A row-unique trailing key also splits a single hot time stamp.
-        laid_out = (with_month_partitions(clean)
-                    .repartitionByRange(shuffle_width(clean), "year", "month", TIME,
+        # The CSV is parsed once, into a flat copy; range sampling reads that copy.
+        write_parquet(clean, flat := scratch_path(spark, "flat-readings"), mode)
+        flat_rows = read_parquet(spark, flat)
+        laid_out = (with_month_partitions(flat_rows)
+                    .repartitionByRange(shuffle_width(flat_rows), "year", "month", TIME,
                                         F.monotonically_increasing_id()))
         write_parquet(laid_out, parquet_path, mode, ["year", "month"])
         staged = read_parquet(spark, parquet_path).drop("year", "month")
@@ -59,19 +60,21 @@ def load_readings(spark: SparkSession, csv_path: str | list[str], parquet_path:
 
 
 def people_job(spark: SparkSession, json_path: str, parquet_path: str,
-               csv_out: str | None = None, schema: T.StructType | None = PEOPLE_SCHEMA) -> DataFrame:
-    """JSON -> Parquet (must not exist) -> view -> SQL age range -> CSV (§3.4).
+               csv_out: str | None = None, schema: T.StructType | None = PEOPLE_SCHEMA,
+               low: int = 13, high: int = 19, parquet_out: str | None = None) -> DataFrame:
+    """JSON -> Parquet (must not exist) -> names in an age range -> CSV, Parquet (§3.4).
 
     ``schema=None`` infers the JSON schema as the original did; that costs an
     extra pass over the input, so production runs pass the declared schema.
     """
     people = read_json(spark, json_path, schema)
     write_parquet(people, parquet_path, mode="errorifexists")
-    read_parquet(spark, parquet_path).createOrReplaceTempView("parquetFile")
-    teenagers = spark.sql(TEENAGERS_SQL)
+    found = in_range(read_parquet(spark, parquet_path), "age", low, high).select("name")
     if csv_out is not None:
-        write_csv(teenagers, csv_out, mode="overwrite")
-    return teenagers
+        write_csv(found, csv_out, mode="overwrite")
+    if parquet_out is not None:
+        write_parquet(found, parquet_out, mode="errorifexists")
+    return found
 
 
 def word_count_job(spark: SparkSession, text_path: str, out_csv: str | None = None,

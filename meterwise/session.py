@@ -87,27 +87,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def input_partitions(df) -> int | None:
-    """Partition count of a frame that has no shuffle yet (its input splits).
-
-    Returns None when the plan already contains an exchange: asking such a plan
-    for its RDD would make adaptive execution run the shuffle stages just to
-    count partitions. Planning the query runs no job.
-    """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
-        return None
-    return df.rdd.getNumPartitions()
+def input_bytes(df) -> int:
+    """Bytes of the tables that ``df`` reads, from the plan's statistics (0 if unknown). Runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < 1 << 60)  # Spark's mark for an unknown size is larger
 
 
 def shuffle_width(df) -> int:
     """Partition count for a shuffle that moves every row of ``df``.
 
-    As many partitions as the input has splits (each about
-    ``spark.sql.files.maxPartitionBytes``), and never fewer than
-    ``spark.sql.shuffle.partitions``: a full-data sort or layout then keeps
-    partitions near the split size at any scale, instead of squeezing 100 TB
-    into the fixed shuffle-partition count. Runs no job.
+    As many partitions as its input has splits of ``spark.sql.files.maxPartitionBytes``,
+    and never fewer than ``spark.sql.shuffle.partitions``: a full-data sort or layout
+    then keeps partitions near the split size at any scale, instead of squeezing
+    100 TB into the fixed shuffle-partition count.
     """
-    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, input_partitions(df) or configured)
+    conf = df.sparkSession.conf
+    split = int(df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return max(int(conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // split))

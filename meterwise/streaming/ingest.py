@@ -4,7 +4,7 @@ New CSV files landing in a folder are parsed with the declared schema, cleaned
 with the same null rule and appended to the Parquet copy. The checkpoint folder
 (shared storage) records which files were committed, so a restarted or
 partially failed run neither skips nor duplicates a file (exactly-once file
-sink). ``available_now`` processes everything present and stops, which suits a
+sink); by default it lies in the output folder, so a later run finds it again. ``available_now`` processes everything present and stops, which suits a
 scheduled batch; without it the query keeps running on a processing-time trigger.
 """
 
@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterwise.operators.clean import drop_incomplete
 from meterwise.schemas import READING_SCHEMA
-from meterwise.session import scratch_path
 
 
 def start_ingest(spark: SparkSession, csv_dir: str, parquet_dir: str,
@@ -33,7 +32,7 @@ def start_ingest(spark: SparkSession, csv_dir: str, parquet_dir: str,
     clean = drop_incomplete(reader.csv(csv_dir))
     writer = (clean.writeStream.format("parquet")
               .option("path", parquet_dir)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint"))
+              .option("checkpointLocation", checkpoint or f"{parquet_dir.rstrip('/')}/_ingest_checkpoint")
               .outputMode("append"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

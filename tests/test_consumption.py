@@ -75,7 +75,8 @@ def test_a3_dataframe_equals_sql(spark, clean_readings):
     assert sorted(df_side.collect()) == sorted(sql_side.collect())
     df_total = C.sum_by(clean_readings, GROUP, ENERGY, "TotalKWH", exact_scale=3)
     sql_total = AN.run_sql(spark, clean_readings, AN.TOTAL_BY_GROUP_SQL)
-    assert sorted(df_total.collect()) == sorted(sql_total.collect())
+    for x, y in zip(sorted(df_total.collect()), sorted(sql_total.collect()), strict=True):
+        assert x[0] == y[0] and abs(x[1] - y[1]) < 1e-9
     # The SQL result is ordered by the total, descending.
     totals = [r.TotalKWH for r in sql_total.collect()]
     assert totals == sorted(totals, reverse=True)
@@ -112,3 +113,14 @@ def test_o2_d3_nulls_first(spark, out):
 def test_o3_sort_desc(clean_readings):
     vals = [r[ENERGY] for r in C.sort_desc(clean_readings, ENERGY).collect()]
     assert vals == sorted(vals, reverse=True)
+
+
+def test_small_readings_are_not_lost(spark):
+    from meterwise.plans import analysis as AN
+    df = spark.createDataFrame([("h", "Std", None, 0.0004, "a", "g")] * 10, "LCLid string, stdorToU string, DateTime timestamp, KWH_per_hh_per_30min double, Acorn string, Acorn_grouped string")
+    assert abs(C.grand_total(df).first().total_kwh - 0.004) < 1e-12
+    assert abs(AN.run_sql(spark, df, AN.TOTAL_BY_GROUP_SQL).first().TotalKWH - 0.004) < 1e-12
+    assert abs(AN.run_sql(spark, df, AN.MEAN_BY_GROUP_SQL).first().AvgKWH - 0.0004) < 1e-12
+    import pytest
+    with pytest.raises(Exception, match="decimal places"):
+        C.grand_total(df, exact_scale=3).collect()

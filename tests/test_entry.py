@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from meterwise.plans import catalog
 from conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -48,7 +49,7 @@ def canon(names, rows):
     return sorted(tuple(norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     cur = duck.execute(E.oracle_sql()[name])
@@ -57,6 +58,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(o_names, cur.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES)))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SF001).count() > 0

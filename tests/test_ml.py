@@ -33,16 +33,7 @@ def test_m1_frequency_codes_ties_alphabetical(spark):
 def test_m10_alphabetical_codes_and_labels(spark):
     df = spark.createDataFrame([(v,) for v in "bbbaacc"], "v string")
     assert codes(ML.index(df, "v", "c", order="alphabetAsc"), "v", "c") == {"a": 0.0, "b": 1.0, "c": 2.0}
-    assert ML.labels(df, "v", "alphabetAsc") == ["a", "b", "c"]
-
-
-@pytest.mark.parametrize("order", ["frequencyDesc", "frequencyAsc", "alphabetAsc", "alphabetDesc"])
-def test_index_by_join_equals_string_indexer(table, order):
-    a = codes(ML.index(table, HOUSEHOLD, "c", order=order), HOUSEHOLD, "c")
-    b = codes(ML.index_by_join(table, HOUSEHOLD, "c", order=order), HOUSEHOLD, "c")
-    assert a == b
-    forced = codes(ML.index(table, HOUSEHOLD, "c", order=order, max_labels=0), HOUSEHOLD, "c")
-    assert forced == a
+    assert ML.labels(df, "v", 10, "alphabetAsc") == ["a", "b", "c"]
 
 
 def test_row_index_matches_row_number(spark):
@@ -78,27 +69,24 @@ def test_m2_m4_ols_recovers_exact_line(spark):
     assert model.intercept == pytest.approx(1.5)
 
 
-def test_d13_trees_need_enough_bins(table):
+def test_d13_trees_take_the_household_code_as_a_number(table):
     feats = ML.household_group_features(table)
-    with pytest.raises(Exception):
-        DecisionTreeRegressor(labelCol=ENERGY, featuresCol="features").fit(feats)
-    bins = ML.max_bins_for(feats, ["LCL_cat", "Acorn_cat"])
-    assert bins == 40
-    DecisionTreeRegressor(labelCol=ENERGY, featuresCol="features", maxBins=bins).fit(feats)
+    model = DecisionTreeRegressor(labelCol=ENERGY, featuresCol="features").fit(feats)
+    assert model.numFeatures == 2
+    assert [a["name"] for a in feats.schema["features"].metadata["ml_attr"]["attrs"]["nominal"]] == ["group_code"]
 
 
 def test_m5_m9_compare_models(spark, table):
     feats = ML.household_group_features(table)
-    bins = ML.max_bins_for(feats, ["LCL_cat", "Acorn_cat"])
     train, test = ML.random_split(feats, seed=1)
-    scores = ML.compare_models(spark, train, test, ENERGY, max_bins=bins,
+    scores = ML.compare_models(spark, train, test, ENERGY,
                                models=["linear_regression", "decision_tree"])
     rows = {r.model: r for r in scores.collect()}
     assert set(rows) == {"linear_regression", "decision_tree"}
     for r in rows.values():
         assert r.rmse == pytest.approx(r.mse ** 0.5) and r.mae >= 0
     # Our one-pass scores equal RegressionEvaluator's.
-    model = ML.regressors(ENERGY, max_bins=bins)["linear_regression"].fit(train)
+    model = ML.regressors(ENERGY)["linear_regression"].fit(train)
     preds = model.transform(test)
     mine, theirs = ML.scores(preds, ENERGY), ML.evaluator_scores(preds, ENERGY)
     for m in ML.METRICS:
@@ -143,8 +131,6 @@ def test_index_many_matches_single_and_sizes(table):
     assert codes(coded, HOUSEHOLD, "h") == codes(ML.index(table, HOUSEHOLD, "h"), HOUSEHOLD, "h")
     assert codes(coded, GROUP, "g") == codes(ML.index(table, GROUP, "g"), GROUP, "g")
     assert sizes == {"h": 40, "g": 4}
-    joined, jsizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"], max_labels=10)
-    assert codes(joined, HOUSEHOLD, "h") == codes(coded, HOUSEHOLD, "h") and jsizes == sizes
 
 
 @pytest.mark.parametrize("order", ["frequencyDesc", "frequencyAsc", "alphabetAsc", "alphabetDesc"])
@@ -156,19 +142,16 @@ def test_one_pass_index_equals_fitted_string_indexer(spark, table, order):
         assert codes(ML.index(df, col, "c", order=order), col, "c") == codes(fitted, col, "c")
 
 
-def test_index_many_metadata_is_exact_per_column(table):
-    coded, sizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"])
-    for col, n in sizes.items():
-        vals = coded.schema[col].metadata["ml_attr"]["vals"]
-        assert len(vals) == n and None not in vals
-
-
-def test_index_many_mixes_paths_per_column(table):
-    # 40 households exceed max_labels=39, the 4 groups do not: only the
-    # household column takes the join path; both give StringIndexer's codes.
-    coded, sizes = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"], max_labels=39)
-    assert sizes == {"h": 40, "g": 4}
-    assert "ml_attr" in coded.schema["g"].metadata and "ml_attr" not in coded.schema["h"].metadata
-    ref = ML.index_many(table, [HOUSEHOLD, GROUP], ["h", "g"])[0]
-    assert codes(coded, HOUSEHOLD, "h") == codes(ref, HOUSEHOLD, "h")
-    assert codes(coded, GROUP, "g") == codes(ref, GROUP, "g")
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_codes_nulls_and_metadata_do_not_depend_on_the_join(spark, threshold):
+    rows = [("a",), ("a",), (None,), ("\uff5e",), ("\U0001f600",), ("b",)]
+    df = spark.createDataFrame(rows, "v string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        coded, sizes = ML.index_many(df, ["v"], ["c"])
+        assert {(r.v, r.c) for r in coded.collect()} == {
+            ("a", 0.0), ("b", 1.0), ("\uff5e", 2.0), ("\U0001f600", 3.0), (None, None)}
+        assert coded.schema["c"].metadata["ml_attr"] == {"type": "nominal", "name": "c", "num_vals": 4} and sizes == {"c": 4}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -18,6 +18,14 @@ def test_ingest_only_new_files(spark, out):
     assert ingest_available(spark, landing, target, ckpt).count() == 6 + len(ROWS[6:]) - 4
 
 
+def test_ingest_by_default_finds_its_checkpoint_again(spark, out):
+    landing, target = (os.path.join(out, d) for d in ("landing", "parquet"))
+    write_lines(os.path.join(landing, "part-1.csv"), [HEADER] + ROWS[:1])
+    assert ingest_available(spark, landing, target).count() == 1
+    write_lines(os.path.join(landing, "part-2.csv"), [HEADER] + ROWS[1:3])
+    assert ingest_available(spark, landing, target).count() == 3
+
+
 def test_scratch_paths_are_unique_and_under_checkpoint_dir(spark):
     base = session.ensure_checkpoint_dir(spark)
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")
