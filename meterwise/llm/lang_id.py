@@ -128,11 +128,15 @@ def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, n
 
     ``labelled`` has ``key``, ``text`` and ``lang``. A first pass counts the languages; the second
     reads only rows whose hash is below the share that gives a little more than wanted.
+    The counts come to the driver, as the model does that has a column for each language.
     """
-    wanted = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    share = (F.lit(1.0) * (per_language + 4 * per_language ** 0.5 + 10)) / F.col("n")
+    counts = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    if not counts:
+        return []
+    wanted = per_language + 4 * per_language ** 0.5 + 10
+    share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, wanted / n)))
     u = F.pmod(F.xxhash64(F.col("key"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    picked = labelled.join(wanted.withColumn("share", share), "lang").withColumn("u", u).filter("u < share")
+    picked = labelled.filter(u < F.element_at(share, F.col("lang")))
     rows = picked.select("lang", "text").mapInArrow(_sample_bins, "lang string, bins array<int>").filter("bins IS NOT NULL").collect()
     by_lang: dict[str, list] = {}
     for r in rows:
