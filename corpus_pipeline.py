@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.llm.decontaminate import find_benchmark_text
-from meterwise.llm.line_dedup import dedup_lines
+from meterwise.llm.line_dedup import WHOLE, dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
 from meterwise.llm.quality_classifier import classify_quality
@@ -30,7 +30,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents that lose their last word by it."""
-    cleaned = dedup_lines(docs).filter("NOT emptied")
+    cleaned = dedup_lines(docs, **WHOLE).filter("NOT emptied")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_exact") + F.col("n_near") > 0, F.length("text"))
                                      .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))

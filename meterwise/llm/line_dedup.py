@@ -35,6 +35,9 @@ from meterwise.llm.store import Scratch
 U = np.uint64
 LENGTH, HEAD, TAIL = (U(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 ADDED = ["n_lines", "n_exact", "n_near", "emptied"]
+#: Limits for a whole corpus. Lines with any word go when equal; under 5 words one edit
+#: is no likeness (it turns any one-word line into any other), so they go only then.
+WHOLE = {"min_words": 1, "near_min_words": 5}
 
 
 class _Sums:
@@ -52,7 +55,7 @@ class _Sums:
         return (self.total[stop] - self.total[start]) * self.inv[start]
 
 
-def _line_features(min_words: int):
+def _line_features(min_words: int, near_min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.Hasher()
         for batch in batches:
@@ -74,10 +77,10 @@ def _line_features(min_words: int):
                 for half in (n // 2, (n - 1) // 2):
                     size = half.astype(U) * LENGTH
                     keys += [W.mix(sums.of(begin, begin + half) + size + HEAD), W.mix(sums.of(end - half, end) + size + TAIL)]
-                take = pa.array(row[begin] + a)
+                take, short = pa.array(row[begin] + a), n < near_min_words
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(take), batch.column(1).take(take), pa.array(line[begin].astype(np.int32)),
-                     pa.array(W.signed(h)), pa.array(n.astype(np.int32)), *(pa.array(W.signed(k)) for k in keys)],
+                     pa.array(W.signed(h)), pa.array(n.astype(np.int32)), *(pa.array(W.signed(k), mask=short) for k in keys)],
                     names=["ord", "rk", "line_no", "h", "n", "k0", "k1", "k2", "k3"])
     return run
 
@@ -161,7 +164,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``n_lines`` (lines of the text), ``n_exact`` and ``n_near`` (lines taken out as
     equal to, or within one word edit of, an earlier line), ``emptied`` (lines were
     taken out and no word is left). Lines of fewer than ``min_words`` words are
-    never taken out, of fewer than ``near_min_words`` only when equal.
+    never taken out, of fewer than ``near_min_words`` only when equal. The registered
+    query and the pipeline use the limits in ``WHOLE``.
 
     * null text stays null, empty text stays empty (``n_lines`` 0 and 1);
     * ties: rows equal in id and text share their positions and keep or lose alike;
@@ -177,7 +181,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slim = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(2**63 - 1)).alias("ord"),
                        F.xxhash64(text).alias("rk"), text.alias("text"))
     lines = scratch.stage(slim.filter("text IS NOT NULL").mapInArrow(
-        _line_features(min_words), "ord long, rk long, line_no int, h long, n int, k0 long, k1 long, k2 long, k3 long"), "lines")
+        _line_features(min_words, near_min_words), "ord long, rk long, line_no int, h long, n int, k0 long, k1 long, k2 long, k3 long"), "lines")
     place = F.struct("ord", "rk", "line_no")
     distinct = scratch.stage(lines.groupBy("h").agg(
         F.min(place).alias("first"), F.count("*").alias("times"), F.min("n").alias("n"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from meterwise.llm.decontaminate import find_benchmark_text
 from meterwise.llm.html_extract import extract_main_text
 from meterwise.llm.lang_id import identify_languages
-from meterwise.llm.line_dedup import dedup_lines
+from meterwise.llm.line_dedup import WHOLE, dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
 from meterwise.llm.quality_classifier import classify_quality
@@ -64,7 +64,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_line_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents")).select(
+    return dedup_lines(table(spark, sf_dir, "documents"), **WHOLE).select(
         "doc_id", "n_lines", "n_exact", "n_near", "emptied", "text")
 
 

@@ -173,3 +173,20 @@ def test_lines_of_repeated_rows_and_null_ids(spark):
     rows = [(1, line), (1, line), (None, line), (2, line + "\nshort")]
     got = sorted(((r.doc_id or 0, r.text, r.emptied) for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
     assert got == [(0, "", True), (1, line, False), (1, line, False), (2, "short", False)]
+
+
+def test_short_lines_of_the_query_and_the_pipeline(spark, out):
+    import corpus_pipeline as P
+    from meterwise.llm.queries import QUERIES
+
+    rnd = random.Random(4)
+    rows = [(i, "\n".join(" ".join(rnd.choice("abcd") for _ in range(rnd.choice([0, 1, 2, 3, 4, 5, 7, 9, 10, 11]))) for _ in range(6)))
+            for i in range(60)]
+    rows += [(100, "Les.\none two three four five"), (101, "Les.\none two three four changed"), (102, "Les. \nkept"), (103, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{out}/documents.parquet")
+    found = sorted((r.doc_id, r.n_lines, r.n_exact, r.n_near, r.text) for r in QUERIES["op7_line_dedup"](spark, out).collect())
+    expected = brute_lines(rows, 1, 5)
+    assert found == expected and expected[-4:-1] == [(100, 2, 0, 0, rows[-4][1]), (101, 2, 1, 1, ""), (102, 2, 1, 0, "kept")]
+    docs = spark.read.parquet(f"{out}/documents.parquet")
+    left = {r.doc_id: r.text for r in P.lines(spark, docs, out).collect()}
+    assert left == {d: t for d, _, exact, near, t in expected if not exact + near or (t and t.strip())}
