@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)|<[!?][^>]*+>"""
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S | re.I)
-HINT = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Any attribute, so that names are read whole and never inside a value.
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: HTML elements that bound a block, and those whose text is not shown as text.
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption
@@ -36,7 +37,7 @@ VOID = frozenset(["hr"])
 #: Elements that end an open one of the same kind.
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
             "option": ("option",)}
-SIDE = frozenset(["nav", "footer", "aside", "form", "menu", "dialog"])
+SIDE = frozenset(["nav", "footer", "aside", "menu", "dialog"])
 #: Words in a class, id or role that mark menus, notices, adverts, comments and the like.
 MARKS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies
     consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related
@@ -45,12 +46,20 @@ MARKS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor
     dialog alert alertdialog form toc""".split())
 TOP_MARKS = frozenset(["header", "masthead", "topbar"])
 PUNCTUATION = re.compile(r"[.!?;:,]")
+#: Cost of content under a mark; under a page wrapper's, for this many characters of content, and less in proportion for more.
+MARK, WRAPPER = 10.0, 50
+#: Share of the content's characters that must lie outside marks for all marks to count in full.
+UNMARKED = 0.05
 
 
 class Box:
-    """An open element: what it and its ancestors say about text inside."""
+    """An open element: what it and its ancestors say about text inside.
 
-    __slots__ = ("tag", "parent", "index", "shown", "article", "side", "top")
+    ``marks`` counts the marked elements from the root down to this one, ``above``
+    those of them that an article or main was opened under.
+    """
+
+    __slots__ = ("tag", "parent", "index", "shown", "article", "side", "top", "marked", "marks", "above")
 
     def __init__(self, tag: str, parent: "Box | None", index: int, attrs: str):
         self.tag, self.parent, self.index = tag, parent, index
@@ -62,15 +71,18 @@ class Box:
             self.top = False
         self.side = self.side or tag in SIDE
         self.top = self.top or (tag == "header" and not self.article)
+        self.marked = tag == "form"
         if attrs and tag not in ("html", "body", "main", "article"):
-            for m in HINT.finditer(attrs):
-                name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            for m in ATTRIBUTE.finditer(attrs):
+                name, value = (m[1] or "").lower(), m[2] or m[3] or m[4] or ""
                 if name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and HIDDEN.search(value)):
                     self.side = True
                 elif name in ("class", "id", "role"):
                     words = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
-                    self.side = self.side or not words.isdisjoint(MARKS)
+                    self.marked = self.marked or not words.isdisjoint(MARKS)
                     self.top = self.top or (not self.article and not words.isdisjoint(TOP_MARKS))
+        self.marks = (parent.marks if parent else 0) + self.marked
+        self.above = self.marks if tag in ("article", "main") else parent.above if parent else 0
 
 
 def page_blocks(page: str) -> list[tuple[str, Box, int]]:
@@ -131,7 +143,7 @@ def page_blocks(page: str) -> list[tuple[str, Box, int]]:
 
 
 def block_score(text: str, box: Box, in_links: int) -> float:
-    """Above 0 for content, below for boilerplate: the classifier's cost for the other label."""
+    """Above 0 for content, below for boilerplate, before marks: the classifier's cost for the other label."""
     size = len(text)
     score = min(size / 100, 2.0) + 0.25 * min(len(PUNCTUATION.findall(text)), 4) - 3.0 * min(in_links / size, 1.0)
     if box.article:
@@ -145,7 +157,7 @@ def block_score(text: str, box: Box, in_links: int) -> float:
     if size < 25 and not PUNCTUATION.search(text):
         score -= 0.5
     if box.side:
-        score -= 10.0
+        score -= MARK
     if box.top:
         score -= 6.0
     if "©" in text and size < 200:
@@ -153,6 +165,56 @@ def block_score(text: str, box: Box, in_links: int) -> float:
     return score
 
 
+def mark_costs(blocks: list[tuple[str, Box, int]], scores: list[float]) -> list[float]:
+    """What the marks on the blocks' containers take from their scores.
+
+    A mark speaks against its text only beside other text. Where nearly all content
+    (blocks of a positive score, those in articles or main if there are any) has marks
+    above it, the marks over the least marked content are the page's own wrappers: they
+    cost nothing where an article or main is opened under them. Elsewhere, if they hold most
+    of that content, their cost falls with its length. Every other mark costs ``MARK``.
+    """
+    if not any(box.marks for _, box, _ in blocks):
+        return [0.0] * len(blocks)
+    content = [(box, len(text)) for (text, box, _), score in zip(blocks, scores) if score > 0]
+    if any(box.article for box, _ in content):
+        content = [c for c in content if c[0].article]
+    content.sort(key=lambda c: c[0].marks)
+    total, outside, least = sum(n for _, n in content), 0, 0
+    for box, n in content:
+        outside, least = outside + n, box.marks
+        if outside >= UNMARKED * total:
+            break
+    content = [c for c in content if c[0].marks <= least]
+
+    boxes: dict[int, Box] = {}
+    for _, box, _ in blocks:
+        while box is not None and box.index not in boxes:
+            boxes[box.index] = box
+            box = box.parent
+    order = sorted(boxes)  # a parent comes before its children
+    held, over = dict.fromkeys(order, 0), dict.fromkeys(order, 0)
+    for box, n in content:
+        held[box.index] += n
+        over[box.index] = max(over[box.index], box.above)
+    for i in reversed(order):
+        if boxes[i].parent is not None:
+            up = boxes[i].parent.index
+            held[up] += held[i]
+            over[up] = max(over[up], over[i])
+    most = sum(n for _, n in content) / 2
+    cost: dict[int, float] = {}
+    full: dict[int, bool] = {}
+    for i in order:
+        box = boxes[i]
+        wrapper = held[i] > 0 and (over[i] >= box.marks or held[i] > most)
+        full[i] = (box.parent is not None and full[box.parent.index]) or (box.marked and not wrapper)
+        cost[i] = 0.0 if box.parent is None or box.tag in ("article", "main") else cost[box.parent.index]
+        if box.marked and wrapper:
+            cost[i] += MARK * min(1.0, WRAPPER / held[i])
+    return [MARK if full[box.index] else cost[box.index] for _, box, _ in blocks]
+
+
 def minimum_cut(weight: list[float], edges: dict[tuple[int, int], float]) -> list[bool]:
     """Labels (True: content) of least cost: |weight| for going against its sign, an edge's value for cutting it."""
     n = len(weight)
@@ -225,7 +287,8 @@ def _max_flow(nodes: list[int], weight: list[float], near: list[dict[int, float]
 
 def page_graph(blocks: list[tuple[str, Box, int]]) -> tuple[list[float], dict[tuple[int, int], float]]:
     """Terminal weights of blocks, then of their containers (none of their own), and smoothness edges."""
-    weight = [block_score(*b) for b in blocks]
+    scores = [block_score(*b) for b in blocks]
+    weight = [s - c for s, c in zip(scores, mark_costs(blocks, scores))]
     edges: dict[tuple[int, int], float] = {}
     for i in range(len(blocks) - 1):
         same = blocks[i][1].parent is blocks[i + 1][1].parent

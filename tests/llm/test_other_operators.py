@@ -214,6 +214,24 @@ def test_main_text(spark):
     assert H.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_marks_of_wrappers_do_not_empty_a_page():
+    article = "<h1>The title</h1>" + "".join(f"<p>Paragraph {i}, with enough words in it to be content, as one sees.</p>" for i in range(6))
+    text = H.main_text(f"<article>{article}</article>")
+    assert text.count("Paragraph") == 6
+    ad, card = '<div class="ad">Buy this now, please, it is very good indeed.</div>', "<article><p>Another story, to read after this one, of some length.</p></article>"
+    remarks = '<section id="comments"><article><p>I do not agree with this at all, it is a long comment.</p></article></section>' * 3
+    for opened in ('<div class="layout has-sidebar">', "<div id=form-page role=search>", "<form action=x>", '<main><div class="no-sidebar">'):
+        page = f"<body>{opened}<article>{article}{ad}{remarks}</article><div class='related'>{card * 3}</div><div class=sidebar><p>A word, on us.</p></div>"
+        assert H.main_text(page) == text, opened
+    for opened in ('<div class="has-sidebar">', '<main><h1>The title</h1><div class="has-sidebar">'):
+        assert H.main_text(f"{opened}<div>{article}</div>").count("Paragraph") == 6, opened
+    assert H.main_text(f"<article>{article}</article><div class=related>{card * 3}</div>") == text
+    assert H.main_text(f"<div title='hidden gems' data-hidden alt='class=ad' x-role=menu><article>{article}</article></div>") == text
+    for opened in ("<div hidden>", '<div style="display: none">', "<aside>", "<nav>"):
+        assert H.main_text(f"{opened}<article>{article}</article>") == ""
+    assert H.main_text('<div class="cookie-banner"><p>We use cookies, to make this site better. Read our policy.</p></div>') == ""
+
+
 def test_minimum_cut_is_minimal():
     rnd = random.Random(7)
     for _ in range(300):
