@@ -9,8 +9,8 @@ scored in batches: a 0/1 matrix of n-grams times the landmarks' matrix, times
 the weights.
 
 The classifier is fitted on a bounded sample of labelled rows, ``per_language``
-for each language (the first half of them the landmarks' pool); the bound does
-not depend on the data.
+for each language, in the order of a hash of the key; the first of them are the
+landmarks. The bound does not depend on the data.
 """
 
 from __future__ import annotations
@@ -120,11 +120,12 @@ def _sample_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bins = [grams.bins(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([None if b is None else b.tolist() for b in bins], pa.list_(pa.int32()))], names=["lang", "bins"])
+            [batch.column(0), pa.array([None if b is None else b.tolist() for b in bins], pa.list_(pa.int32())), batch.column(2)],
+            names=["lang", "bins", "at"])
 
 
 def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, np.ndarray]]:
-    """Up to ``per_language`` texts of each language, by hash, as (language, bins).
+    """Up to ``per_language`` texts of each language, in the order of their key's hash, as (language, bins).
 
     ``labelled`` has ``key``, ``text`` and ``lang``. A first pass counts the languages; the second
     reads only rows whose hash is below the share that gives a little more than wanted.
@@ -135,13 +136,14 @@ def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, n
         return []
     wanted = per_language + 4 * per_language ** 0.5 + 10
     share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, wanted / n)))
-    u = F.pmod(F.xxhash64(F.col("key"), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    picked = labelled.filter(u < F.element_at(share, F.col("lang")))
-    rows = picked.select("lang", "text").mapInArrow(_sample_bins, "lang string, bins array<int>").filter("bins IS NOT NULL").collect()
+    at = F.pmod(F.xxhash64(F.col("key"), F.lit(17)), F.lit(1 << 30))
+    picked = labelled.filter(at / float(1 << 30) < F.element_at(share, F.col("lang")))
+    rows = picked.select("lang", "text", at.alias("at")).mapInArrow(
+        _sample_bins, "lang string, bins array<int>, at long").filter("bins IS NOT NULL").collect()
     by_lang: dict[str, list] = {}
     for r in rows:
-        by_lang.setdefault(r.lang, []).append(r.bins)
-    return [(lang, np.array(b)) for lang, found in sorted(by_lang.items()) for b in sorted(found)[:per_language]]
+        by_lang.setdefault(r.lang, []).append((r.at, r.bins))
+    return [(lang, np.array(b)) for lang, found in sorted(by_lang.items()) for _, b in sorted(found)[:per_language]]
 
 
 def _predictor(shared):

@@ -46,6 +46,16 @@ def test_language_of_held_out_rows_and_corner_cases(spark, odd, empty):
     assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows) and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_language_sample_does_not_prefer_long_texts(spark):
+    rnd = random.Random(11)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(n))
+    rows = [(i, text(400 if i % 2 else 4), "en") for i in range(1000)]
+    sample = I.training_sample(spark.createDataFrame(rows, "key long, text string, lang string"), 64)
+    assert len(sample) == 64
+    for part in (sample, sample[:32]):
+        assert 0.25 < sum(len(bins) < 500 for _, bins in part) / len(part) < 0.75
+
+
 def test_bins_do_not_depend_on_blocks(monkeypatch):
     grams = I.Grams()
     text = "Über die  123 Brücke, l'été été. " * 40
