@@ -2,10 +2,12 @@
 
 Two texts are compared by the blended-spectrum presence kernel: the number of
 character n-grams of lengths 1 to 4 (hashed) that both contain, divided by the
-root of the product of their own numbers. A bounded set of landmark texts gives
+root of the product of their own numbers. A text longer than ``PIECE`` characters is
+cut into equal pieces and stands for the mean of their rows, scaled to length 1, so that
+no text is so long that it holds every hashed n-gram. A bounded set of landmark texts gives
 Nystroem features, K(x, landmarks) K(landmarks, landmarks)^(-1/2), on which one
 ridge regression against the rest is fitted for each language. Whole texts are
-scored in batches: a 0/1 matrix of n-grams times the landmarks' matrix, times
+scored in batches: a matrix of n-gram weights times the landmarks' matrix, times
 the weights.
 
 The classifier is fitted on a bounded sample of labelled rows, ``per_language``
@@ -29,6 +31,8 @@ GRAMS = (1, 2, 3, 4)
 BINS = 1 << 14
 BATCH = 64
 BLOCK = 1 << 18
+PIECE = 1 << 12
+Row = tuple[np.ndarray, np.ndarray]
 
 
 class Grams:
@@ -65,11 +69,23 @@ class Grams:
             tail = codes[-(GRAMS[-1] - 1):]
         return np.flatnonzero(found) if some else None
 
+    def row(self, text: str | None) -> Row | None:
+        """Bins and weights of a whole text, of length 1; None if it has no letter."""
+        text = text or ""
+        total, n = np.zeros(BINS), -(-len(text) // PIECE)
+        for i in range(n):
+            # Each piece goes on to the end of the n-grams that start in it.
+            bins = self.bins(text[i * len(text) // n:(i + 1) * len(text) // n + GRAMS[-1] - 1])
+            if bins is not None:
+                total[bins] += 1 / np.sqrt(len(bins))
+        bins = np.flatnonzero(total)
+        return (bins, (total[bins] / np.linalg.norm(total)).astype(np.float32)) if len(bins) else None
+
 
-def _presence(rows: list[np.ndarray]) -> np.ndarray:
+def _matrix(rows: list[Row]) -> np.ndarray:
     x = np.zeros((len(rows), BINS), dtype=np.float32)
-    for i, bins in enumerate(rows):
-        x[i, bins] = 1.0
+    for i, (bins, weights) in enumerate(rows):
+        x[i, bins] = weights
     return x
 
 
@@ -79,34 +95,29 @@ class Classifier:
     def __init__(self, landmarks: np.ndarray, weights: np.ndarray, intercept: np.ndarray, names: list[str]):
         self.landmarks, self.weights, self.intercept, self.names = landmarks, weights, intercept, names
 
-    def scores(self, rows: list[np.ndarray]) -> np.ndarray:
+    def scores(self, rows: list[Row]) -> np.ndarray:
         """One score for each text and language, near 1 for the right one and 0 for the others."""
-        own = np.sqrt(np.array([len(r) for r in rows], dtype=np.float64))
-        kernel = (_presence(rows) @ self.landmarks) / own[:, None]
-        return kernel @ self.weights + self.intercept
+        return (_matrix(rows) @ self.landmarks) @ self.weights + self.intercept
 
 
-def fit(samples: list[tuple[str, np.ndarray]], landmarks_per_language: int = 32, ridge: float = 1e-2) -> Classifier | None:
-    """The classifier for (language, bins) samples; None without samples."""
+def fit(samples: list[tuple[str, Row]], landmarks_per_language: int = 32, ridge: float = 1e-2) -> Classifier | None:
+    """The classifier for (language, row) samples; None without samples."""
     names = sorted({lang for lang, _ in samples})
     if not names:
         return None
     seen: dict[str, int] = {}
     chosen = []
-    for lang, bins in samples:
+    for lang, row in samples:
         seen[lang] = seen.get(lang, 0) + 1
         if seen[lang] <= landmarks_per_language:
-            chosen.append(bins)
-    marks = _presence(chosen)
-    marks = (marks / np.sqrt(marks.sum(axis=1, keepdims=True))).T.astype(np.float32)
+            chosen.append(row)
+    marks = np.ascontiguousarray(_matrix(chosen).T)
     values, vectors = np.linalg.eigh((marks.T @ marks).astype(np.float64))
     keep = values > 1e-6 * values.max()
     root = (vectors[:, keep] / np.sqrt(values[keep])) @ vectors[:, keep].T
     features = []
     for at in range(0, len(samples), BATCH):
-        rows = [bins for _, bins in samples[at:at + BATCH]]
-        own = np.sqrt(np.array([len(r) for r in rows], dtype=np.float64))
-        features.append((_presence(rows) @ marks) / own[:, None] @ root)
+        features.append(_matrix([row for _, row in samples[at:at + BATCH]]) @ marks @ root)
     z = np.concatenate(features)
     y = np.array([[float(lang == name) for name in names] for lang, _ in samples])
     mean, base = z.mean(axis=0), y.mean(axis=0)
@@ -115,17 +126,18 @@ def fit(samples: list[tuple[str, np.ndarray]], landmarks_per_language: int = 32,
     return Classifier(marks, root @ w, base - mean @ w, names)
 
 
-def _sample_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     grams = Grams()
     for batch in batches:
-        bins = [grams.bins(t) for t in batch.column(1).to_pylist()]
+        rows = [grams.row(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([None if b is None else b.tolist() for b in bins], pa.list_(pa.int32())), batch.column(2)],
-            names=["lang", "bins", "at"])
+            [batch.column(0), pa.array([None if r is None else r[0].tolist() for r in rows], pa.list_(pa.int32())),
+             pa.array([None if r is None else r[1].tolist() for r in rows], pa.list_(pa.float32())), batch.column(2)],
+            names=["lang", "bins", "weights", "at"])
 
 
-def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, np.ndarray]]:
-    """Up to ``per_language`` texts of each language, in the order of their key's hash, as (language, bins).
+def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, Row]]:
+    """Up to ``per_language`` texts of each language, in the order of their key's hash, as (language, row).
 
     ``labelled`` has ``key``, ``text`` and ``lang``. A first pass counts the languages; the second
     reads only rows whose hash is below the share that gives a little more than wanted.
@@ -139,11 +151,12 @@ def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, n
     at = F.pmod(F.xxhash64(F.col("key"), F.lit(17)), F.lit(1 << 30))
     picked = labelled.filter(at / float(1 << 30) < F.element_at(share, F.col("lang")))
     rows = picked.select("lang", "text", at.alias("at")).mapInArrow(
-        _sample_bins, "lang string, bins array<int>, at long").filter("bins IS NOT NULL").collect()
+        _sample_rows, "lang string, bins array<int>, weights array<float>, at long").filter("bins IS NOT NULL").collect()
     by_lang: dict[str, list] = {}
     for r in rows:
-        by_lang.setdefault(r.lang, []).append((r.at, r.bins))
-    return [(lang, np.array(b)) for lang, found in sorted(by_lang.items()) for _, b in sorted(found)[:per_language]]
+        by_lang.setdefault(r.lang, []).append((r.at, r.bins, r.weights))
+    return [(lang, (np.array(b), np.array(w, dtype=np.float32)))
+            for lang, found in sorted(by_lang.items()) for _, b, w in sorted(found)[:per_language]]
 
 
 def _predictor(shared):
@@ -152,7 +165,7 @@ def _predictor(shared):
         for batch in batches:
             texts = batch.column(1)
             for at in range(0, len(batch), BATCH):
-                rows = [grams.bins(t) for t in texts.slice(at, BATCH).to_pylist()]
+                rows = [grams.row(t) for t in texts.slice(at, BATCH).to_pylist()]
                 some = [i for i, r in enumerate(rows) if r is not None] if model else []
                 names, scores = ["und"] * len(rows), np.zeros(len(rows))
                 if some:

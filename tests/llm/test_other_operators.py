@@ -53,7 +53,19 @@ def test_language_sample_does_not_prefer_long_texts(spark):
     sample = I.training_sample(spark.createDataFrame(rows, "key long, text string, lang string"), 64)
     assert len(sample) == 64
     for part in (sample, sample[:32]):
-        assert 0.25 < sum(len(bins) < 500 for _, bins in part) / len(part) < 0.75
+        assert 0.25 < sum(len(row[0]) < 500 for _, row in part) / len(part) < 0.75
+
+
+def test_very_long_texts_are_told_apart():
+    rnd = random.Random(12)
+    alphabets = {"a": [chr(0x4E00 + i) for i in range(3000)], "b": [chr(0x4E00 + i) for i in range(1500, 4500)]}
+    grams = I.Grams()
+    text = lambda lang, n: "".join(rnd.choice(alphabets[lang]) for _ in range(n))
+    model = I.fit([(lang, grams.row(text(lang, 2000))) for lang in "ab" for _ in range(40)])
+    long = [grams.row(text(lang, 200_000)) for lang in "ab"]
+    assert len(long[0][0]) > 0.99 * I.BINS  # presence alone says nothing
+    assert [model.names[i] for i in model.scores(long).argmax(axis=1)] == ["a", "b"]
+    assert all(abs(float(w @ w) - 1) < 1e-4 for _, w in long) and grams.row("12 !") is None
 
 
 def test_bins_do_not_depend_on_blocks(monkeypatch):
