@@ -38,14 +38,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays (a repeated row stays once)."""
+    """One document of each group of near-duplicates stays (rows equal in id and text stay once)."""
     groups = near_duplicate_groups(docs)
     gone = groups.filter("NOT kept").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if again.isEmpty():
         return kept
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    # Of rows equal in id and text, the one whose columns have the least hash.
+    once = (kept.join(again, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_text"))
+            .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*"))
     return kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 

@@ -52,6 +52,14 @@ def test_near_duplicate_stage_keeps_a_repeated_row_once(spark, out):
     assert sorted(str(r.doc_id) for r in P.near_duplicates(spark, docs, out).collect()) == ["1", "None"]
 
 
+def test_near_duplicate_stage_keeps_other_texts_of_one_id(spark, out):
+    rows = [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "en", "t", 1), (1, "u v w x y z", "en", "s", 1), (1, None, "en", "s", 1), (2, "k l m n o p", "en", "s", 1)]
+    found = [sorted(map(tuple, P.near_duplicates(spark, spark.createDataFrame(r, SCHEMA).repartition(n), out).collect()), key=str)
+             for r, n in ((rows, 1), (rows[::-1], 5))]
+    assert found[0] == found[1]
+    assert sorted((r[0], str(r[1])) for r in found[0]) == [(1, "None"), (1, "a b c d e f"), (1, "u v w x y z"), (2, "k l m n o p")]
+
+
 def test_empty_documents(spark, out):
     tables(spark, out, [])
     assert P.run(spark, out).count() == 0
