@@ -97,13 +97,13 @@ def _posterior(accuracy: dict[str, float]) -> Column:
     return 1 / (1 + F.exp(-log_odds))
 
 
-def fit_votes(patterns: DataFrame, names: list[str], max_iter: int = 20, tol: float = 1e-3) -> dict[str, float]:
-    """EM over the ``count`` of each combination of votes.
+def fit_votes(patterns: DataFrame, names: list[str], tol: float = 1e-3) -> dict[str, float]:
+    """EM over the ``count`` of each combination of votes, until no accuracy changes by ``tol``.
 
     Returns each rule's accuracy; the one to start from where a rule gave no votes.
     """
     accuracy = dict.fromkeys(names, ACCURACY)
-    for _ in range(max_iter):
+    while True:
         p, n = _posterior(accuracy), F.col("count")
         one = patterns.select("count", *names, p.alias("p")).agg(
             *(F.sum(n * F.abs(r)).alias(f"{r}_all") for r in names),
@@ -113,8 +113,7 @@ def fit_votes(patterns: DataFrame, names: list[str], max_iter: int = 20, tol: fl
         accuracy = {r: (one[f"{r}_right"] / one[f"{r}_all"] + PRIOR_WEIGHT * ACCURACY) / (1 + PRIOR_WEIGHT)
                     if one[f"{r}_all"] else ACCURACY for r in names}
         if max(abs(accuracy[r] - before[r]) for r in names) < tol:
-            break
-    return accuracy
+            return accuracy
 
 
 def quality_by_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:

@@ -203,6 +203,23 @@ def test_rule_accuracies_follow_agreement(spark):
     assert accuracy["a"] > 0.9 and accuracy["c"] > 0.9 and all(0.4 < x < 1 for x in accuracy.values())
 
 
+def test_rule_accuracies_converge(spark):
+    rows = [(1, 0, 8400), (-1, 0, 690), (1, -1, 56), (0, -1, 8)]
+    a = [R.ACCURACY] * 2
+    for _ in range(1000):
+        right, given = [0.0, 0.0], [0, 0]
+        for *votes, n in rows:
+            odds = R.GOOD / (1 - R.GOOD)
+            for v, x in zip(votes, a):
+                odds *= (x / (1 - x)) ** v
+            for i, v in enumerate(votes):
+                given[i] += n * abs(v)
+                right[i] += n * (odds if v > 0 else 1) / (1 + odds) if v else 0
+        a = [(r / g + R.PRIOR_WEIGHT * R.ACCURACY) / (1 + R.PRIOR_WEIGHT) for r, g in zip(right, given)]
+    got = R.fit_votes(spark.createDataFrame(rows, "a int, b int, count long"), ["a", "b"], tol=1e-13)
+    assert [got["a"], got["b"]] == pytest.approx(a, rel=0, abs=1e-12)
+
+
 def test_classifier_learns_and_shrinks(spark, odd, empty):
     labels = spark.createDataFrame([(None, 1, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
     assert C.classify_quality(empty, labels).count() == 0
