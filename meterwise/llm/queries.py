@@ -9,6 +9,7 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterwise.llm.decontaminate import find_benchmark_text
 from meterwise.llm.html_extract import extract_main_text
@@ -19,7 +20,9 @@ from meterwise.llm.near_dup import near_duplicate_groups
 from meterwise.llm.quality_classifier import classify_quality
 from meterwise.llm.quality_rules import quality_by_rules
 from meterwise.llm.token_counts import load_vocabulary, token_counts
+from meterwise.llm.toxicity import score_toxicity
 from meterwise.llm.warc import read_archives, write_archives
+from meterwise.llm.whitening import whiten_embeddings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -144,3 +147,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_html_main_text")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten_embeddings(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n", "deviation", "identity_error",
+                        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
+@query("op13_toxicity")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, sf_dir, "labels")).drop("text")
