@@ -17,6 +17,7 @@ from meterwise.llm.lang_id import identify_languages
 from meterwise.llm.line_dedup import WHOLE, dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
+from meterwise.llm.prefix_trie import conversation_trie
 from meterwise.llm.quality_classifier import classify_quality
 from meterwise.llm.quality_rules import quality_by_rules
 from meterwise.llm.token_counts import load_vocabulary, token_counts
@@ -161,3 +162,47 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_toxicity(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query("op11_conversation_trie", r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (
+    SELECT conv_id, x, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, x) - 1 AS p
+    FROM (SELECT *, md5(concat(octet_length(encode(role)), ':', role, text)) AS x, octet_length(encode(text)) AS bytes FROM t)),
+ids AS (
+    SELECT conv_id, CAST(conv_id AS VARCHAR) AS s FROM (SELECT DISTINCT conv_id FROM t)),
+cut AS (
+    -- crc32 bit by bit over the characters of the decimal id
+    SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT, range(8 * length(s))), lambda c, i:
+               CASE WHEN i % 8 = 0 THEN xor(xor(c, ord(s[i // 8 + 1])::BIGINT) >> 1, 3988292384 * (xor(c, ord(s[i // 8 + 1])::BIGINT) & 1))
+                    ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) % 9 AS h FROM ids),
+turns AS (
+    SELECT c.conv_id, 0 AS part, n.p, n.x, n.bytes FROM cut c JOIN numbered n ON n.conv_id = c.conv_id - c.conv_id % 5 AND n.p < c.h
+    UNION ALL
+    SELECT c.conv_id, 1, n.p, n.x, n.bytes FROM cut c JOIN numbered n ON n.conv_id = c.conv_id AND n.p >= c.h),
+seqs AS (
+    SELECT c.conv_id, coalesce(list(t.x ORDER BY part, p) FILTER (WHERE t.x IS NOT NULL), []) AS xs,
+           coalesce(list(t.bytes ORDER BY part, p) FILTER (WHERE t.x IS NOT NULL), []) AS bs
+    FROM cut c LEFT JOIN turns t USING (conv_id) GROUP BY c.conv_id),
+paths AS (
+    SELECT conv_id, d, array_to_string(xs[1:d], ',') AS k, coalesce(bs[d], 0) AS bytes, d = len(xs) AS ends
+    FROM (SELECT conv_id, xs, bs, unnest(range(len(xs) + 1)) AS d FROM seqs)),
+nodes AS (
+    SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS own,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM paths GROUP BY d, k),
+links AS (
+    SELECT n.d, n.k, p.k AS parent FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.d = n.d - 1),
+children AS (SELECT d - 1 AS d, parent AS k, count(*) AS n FROM links GROUP BY ALL),
+own AS (
+    SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c USING (d, k)),
+totals AS (
+    SELECT p.d, p.k, sum(o.own) AS saved, count(*) FILTER (WHERE o.n_children = 0) AS n_leaves
+    FROM own o JOIN paths p ON p.conv_id = o.conv_id AND p.d <= o.d GROUP BY p.d, p.k)
+SELECT o.conv_id, CAST(o.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, o.n_convs, CAST(o.n_children AS BIGINT) AS n_children,
+       CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, o.ends_sha256
+FROM own o JOIN totals t USING (d, k) LEFT JOIN links l USING (d, k) LEFT JOIN nodes q ON q.d = o.d - 1 AND q.k = l.parent
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
