@@ -6,26 +6,28 @@ pattern of the automaton. Every document is normalised the same way and scanned
 once; matches are mapped back to words and to character offsets of the original
 text.
 
-The automaton is broadcast, so its size is bounded: the items are dealt into
-blocks of about ``block_bytes`` of text (one block for usual benchmarks), and the
-documents are scanned once per block, each pass adding its matches to the rows.
+Its letters are word numbers, so a window is as many nodes as it has words (at most ten,
+about 40 bytes each). The automaton is broadcast, so its size is bounded: a benchmark that could
+make more than ``max_nodes`` nodes is dealt into blocks, and the documents are
+scanned once per block; each pass but the last is written, so a task holds one automaton.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwise.llm.store import Scratch
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 SPAN_TYPE = "array<struct<first:int,last:int>>"
+SCAN_TYPE = f"struct<n_words:long,spans:{SPAN_TYPE},items:array<long>>"
 ADDED = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "spans"]
 
 
@@ -33,27 +35,28 @@ def normal_words(text: str | None) -> list[str]:
     return WORD.findall(text.translate(FOLD)) if text else []
 
 
-def item_windows(text: str | None, window: int) -> set[str]:
+def item_windows(text: str | None, window: int) -> set[tuple[str, ...]]:
     words = normal_words(text)
     if not words:
         return set()
-    return {" ".join(words[i:i + window]) for i in range(max(1, len(words) - window + 1))}
+    return {tuple(words[i:i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
 def build_automaton(items: list[tuple[int | None, str | None]], window: int):
-    """The automaton of the items' windows; a pattern's value is (its words, its item ids)."""
+    """The items' words as numbers from 1, and the automaton of their windows over these numbers;
+    a pattern's value is (its words, its item ids)."""
     import ahocorasick
 
-    owners: dict[str, set] = {}
+    owners: dict[tuple, set] = {}
+    numbers: dict[str, int] = {}
     for item, text in items:
         for w in item_windows(text, window):
-            owners.setdefault(w, set()).add(item)
-    automaton = ahocorasick.Automaton()
+            owners.setdefault(tuple(numbers.setdefault(x, len(numbers) + 1) for x in w), set()).add(item)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for w, ids in owners.items():
-        # A blank on both sides keeps matches on whole words.
-        automaton.add_word(f" {w} ", (w.count(" ") + 1, tuple(i for i in ids if i is not None)))
+        automaton.add_word(w, (len(w), tuple(i for i in ids if i is not None)))
     automaton.make_automaton()
-    return automaton
+    return numbers, automaton
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -67,53 +70,48 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def scan(automaton, text: str | None):
-    """Word ranges that are hit, and the items that occur in ``text``."""
+def scan(numbers: dict[str, int], automaton, text: str | None):
+    """Number of words, word ranges that are hit, and the items that occur in ``text``."""
     words = normal_words(text)
-    line = f" {' '.join(words)} "
-    hits, items, at, end_word = [], set(), 0, -1
-    if len(automaton):
-        for end, (n, ids) in automaton.iter(line):
-            end_word += line.count(" ", at, end + 1)
-            at = end + 1
-            # The blank at `end` closes word number (blanks so far - 2).
-            last = end_word - 1
+    hits, items = [], set()
+    if numbers and words:
+        for last, (n, ids) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
             if hits and hits[-1][0] <= last - n + 1 <= hits[-1][1] + 1:
-                hits[-1] = (hits[-1][0], max(hits[-1][1], last))
+                hits[-1] = (hits[-1][0], last)
             else:
                 hits.append((last - n + 1, last))
             items.update(ids)
     return len(words), merge_spans(hits), items
 
 
-def _pass(shared, columns: list[str]):
-    """One scan: appends to n_words, spans and items, and passes every other column."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
-        for batch in batches:
-            at = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
-            n_words, spans, items = [], [], []
-            for text, old_spans, old_items in zip(*(at[c].to_pylist() for c in ("text", "spans", "items"))):
-                n, hit, found = scan(automaton, text)
-                n_words.append(n)
-                spans.append([{"first": a, "last": b} for a, b in
-                              merge_spans([(s["first"], s["last"]) for s in old_spans] + hit)])
-                items.append(sorted(found.union(old_items)))
-            at["n_words"] = pa.array(n_words, pa.int64())
-            at["spans"] = pa.array(spans, SPANS)
-            at["items"] = pa.array(items, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([at[c] for c in columns], names=columns)
+def _scanner(shared):
+    def run(texts: pa.Array) -> pa.Array:
+        numbers, automaton = shared.value
+        n_words, spans, items = [], [], []
+        for at in range(len(texts)):
+            n, hit, found = scan(numbers, automaton, texts[at].as_py())
+            n_words.append(n)
+            spans.append([{"first": a, "last": b} for a, b in hit])
+            items.append(sorted(found))
+        return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(spans, SPANS), pa.array(items, pa.list_(pa.int64()))],
+                                          names=["n_words", "spans", "items"])
     return run
 
 
-def _items_hash(lists):
-    import pandas as pd
-
-    return pd.Series([hashlib.sha256(",".join(sorted(map(str, x))).encode()).hexdigest() for x in lists])
+def _merged(first, last):
+    """Word ranges of two scans as one list without overlap, on the JVM."""
+    ranges = F.array_sort(F.concat(first, last))
+    start = F.array().cast(SPAN_TYPE)
+    return F.aggregate(ranges, start, lambda acc, s: F.when(
+        (F.size(acc) > 0) & (s["first"] <= F.get(acc, F.size(acc) - 1)["last"] + 1),
+        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
+            F.get(acc, F.size(acc) - 1)["first"].alias("first"),
+            F.greatest(F.get(acc, F.size(acc) - 1)["last"], s["last"]).alias("last")))))
+        .otherwise(F.concat(acc, F.array(s))))
 
 
 def find_benchmark_text(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = 10,
-                        block_bytes: int = 16 << 20) -> DataFrame:
+                        max_nodes: int = 1_000_000) -> DataFrame:
     """``docs`` and, for each row, the benchmark text found in it.
 
     Adds ``n_words``, ``n_hit`` (words inside an occurrence of a window),
@@ -129,24 +127,35 @@ def find_benchmark_text(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / block_bytes))
+    # At most bytes / 2 + 1 words, each the start of a window of as many nodes as it has words.
+    size = items.agg(F.sum(F.octet_length("text") / 2 + 1)).first()[0] or 0
+    blocks = max(1, math.ceil(size * window / max_nodes))
     items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     kept = [c for c in docs.columns if c not in ADDED]
-    found = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col(f"`{text_col}`").alias("text"),
+    found = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in kept)).alias("row"),
+                        F.col(f"`{text_col}`").cast("string").alias("text"),
                         F.lit(0).cast("long").alias("n_words"), F.array().cast(SPAN_TYPE).alias("spans"),
                         F.array().cast("array<long>").alias("items"))
+    old, new = Scratch(spark, "decontaminate"), Scratch(spark, "decontaminate")
     for b in range(blocks):
-        # At most about block_bytes of items come to the driver at once.
+        # One block of items comes to the driver at once.
         rows = [(r.item_id, r.text) for r in items.filter(F.col("block") == b).toLocalIterator()]
         shared = spark.sparkContext.broadcast(build_automaton(rows, window))
-        found = found.mapInArrow(_pass(shared, found.columns), found.schema)
+        found = found.withColumn("scan", F.arrow_udf(_scanner(shared), SCAN_TYPE)("text")).select(
+            "row", "text", F.col("scan.n_words").alias("n_words"),
+            (_merged(F.col("spans"), F.col("scan.spans")) if b else F.col("scan.spans")).alias("spans"),
+            (F.array_sort(F.array_union("items", "scan.items")) if b else F.col("scan.items")).alias("items"))
+        if b < blocks - 1:  # a written table between passes: a task holds one automaton
+            found = new.stage(found, f"pass-{b}", keep=b == blocks - 2)
+            shared.destroy()
+            old.clear()
+            old, new = new, Scratch(spark, "decontaminate")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
     found = found.withColumn("n_hit", n_hit)
     return found.select(
         *(F.col(f"row.`{c}`").alias(c) for c in kept), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        "items", F.pandas_udf(_items_hash, "string")("items").alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "spans")
+        "items", F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
 def original_offsets(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
