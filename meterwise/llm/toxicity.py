@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import wordhash as W
@@ -178,25 +178,27 @@ def _common(tokens: np.ndarray, text: np.ndarray, word: np.ndarray, bucket: np.n
     return counts >= least
 
 
-def training_sample(labelled: DataFrame, per_class: int) -> tuple[list[str | None], list[bool]]:
+def training_sample(votes: DataFrame, texts: DataFrame, per_class: int) -> tuple[list[str | None], list[bool]]:
     """Up to ``per_class`` texts of each class in the order of their key's hash.
 
-    ``labelled`` has one row for each ``key``, with ``text`` and ``toxic``. Rows are chosen by hash at
-    the rate that gives a little more than wanted, so a bounded number of texts comes to the driver.
+    ``votes`` has one row for each ``key``, with ``toxic``; ``texts`` has ``key`` and ``text``. Keys are chosen
+    by hash at the rate that gives a little more than wanted, so their number is bounded, and an id
+    on several rows gives one text: a bounded number of texts moves at all.
     """
-    n = {r.toxic: r["count"] for r in labelled.groupBy("toxic").count().collect()}
+    n = {r.toxic: r["count"] for r in votes.groupBy("toxic").count().collect()}
     if len(n) < 2:
         return [], []
     wanted = per_class + 4 * per_class ** 0.5 + 10
     at = F.pmod(F.xxhash64("key", F.lit(29)), F.lit(1 << 30))
     limit = F.when(F.col("toxic"), wanted / n[True]).otherwise(wanted / n[False])
-    rows = labelled.filter(at / float(1 << 30) < limit).select("toxic", "text", at.alias("at"), "key").collect()
-    texts, toxic = [], []
+    chosen = F.broadcast(votes.filter(at / float(1 << 30) < limit).select("key", "toxic", at.alias("at")))
+    rows = texts.join(chosen, "key").groupBy("key", "toxic", "at").agg(F.min_by("text", F.xxhash64("text")).alias("text")).collect()
+    out, toxic = [], []
     for kind in (False, True):
         for r in sorted((r for r in rows if r.toxic == kind), key=lambda r: (r.at, r.key))[:per_class]:
-            texts.append(r.text)
+            out.append(r.text)
             toxic.append(kind)
-    return texts, toxic
+    return out, toxic
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -216,14 +218,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`").cast("string")
-    held_out = F.coalesce(F.crc32(key.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    def tested(k: Column) -> Column:
+        return F.coalesce(F.crc32(k.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+    held_out = tested(key)
     votes = (labels.select(F.col(f"`{id_col}`").cast("long").alias("key"), F.col(f"`{label_col}`").cast("double").alias("vote"))
-             .filter("key IS NOT NULL AND vote IS NOT NULL").groupBy("key").agg((F.avg("vote") >= 0.5).alias("toxic")))
-    known = (docs.filter(~held_out & (F.coalesce(F.length(text), F.lit(0)) <= max_chars))
-             .select(key.cast("long").alias("key"), text.alias("text")).join(votes, "key"))
-    # One text for each id: repeated rows of a labelled id must not all reach the driver.
-    known = known.groupBy("key", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    model = train(*training_sample(known, per_class))
+             .filter(F.col("key").isNotNull() & F.col("vote").isNotNull() & ~tested(F.col("key")))
+             .groupBy("key").agg((F.avg("vote") >= 0.5).alias("toxic")))
+    short = docs.select(key.cast("long").alias("key"), text.alias("text")).filter(F.coalesce(F.length("text"), F.lit(0)) <= max_chars)
+    model = train(*training_sample(votes, short, per_class))
     shared = spark.sparkContext.broadcast(model)
 
     def score(texts: pa.Array) -> pa.Array:
