@@ -38,14 +38,19 @@ Row = tuple[np.ndarray, np.ndarray]
 class Grams:
     """Presence of hashed character n-grams; letters only, lower case, other runs as one blank."""
 
-    def __init__(self):
+    def __init__(self, low: np.ndarray | None = None):
+        self.low = self.letters() if low is None else low
+
+    @staticmethod
+    def letters() -> np.ndarray:
+        """The lower-case code point of every letter, 0 for all that is no letter."""
         points = [chr(i) for i in range(0x110000)]
         letter = np.fromiter((c.isalpha() for c in points), bool, len(points))
         low = np.zeros(len(points), dtype=np.uint32)
         for i in np.flatnonzero(letter):
             lowered = points[i].lower()
             low[i] = ord(lowered) if len(lowered) == 1 else i
-        self.low = low  # 0 for all that is no letter
+        return low
 
     def bins(self, text: str | None) -> np.ndarray | None:
         """Sorted distinct bins of a whole text; None if it has no letter."""
@@ -126,17 +131,19 @@ def fit(samples: list[tuple[str, Row]], landmarks_per_language: int = 32, ridge:
     return Classifier(marks, root @ w, base - mean @ w, names)
 
 
-def _sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    grams = Grams()
-    for batch in batches:
-        rows = [grams.row(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([None if r is None else r[0].tolist() for r in rows], pa.list_(pa.int32())),
-             pa.array([None if r is None else r[1].tolist() for r in rows], pa.list_(pa.float32())), batch.column(2)],
-            names=["lang", "bins", "weights", "at"])
+def _sample_rows(letters):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams(letters.value)
+        for batch in batches:
+            rows = [grams.row(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([None if r is None else r[0].tolist() for r in rows], pa.list_(pa.int32())),
+                 pa.array([None if r is None else r[1].tolist() for r in rows], pa.list_(pa.float32())), batch.column(2)],
+                names=["lang", "bins", "weights", "at"])
+    return run
 
 
-def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, Row]]:
+def training_sample(labelled: DataFrame, per_language: int, letters=None) -> list[tuple[str, Row]]:
     """Up to ``per_language`` texts of each language, in the order of their key's hash, as (language, row).
 
     ``labelled`` has ``key``, ``text`` and ``lang``. A first pass counts the languages; the second
@@ -150,8 +157,9 @@ def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, R
     share = F.create_map(*(F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, wanted / n)))
     at = F.pmod(F.xxhash64(F.col("key"), F.lit(17)), F.lit(1 << 30))
     picked = labelled.filter(at / float(1 << 30) < F.element_at(share, F.col("lang")))
+    letters = letters or labelled.sparkSession.sparkContext.broadcast(Grams.letters())
     rows = picked.select("lang", "text", at.alias("at")).mapInArrow(
-        _sample_rows, "lang string, bins array<int>, weights array<float>, at long").filter("bins IS NOT NULL").collect()
+        _sample_rows(letters), "lang string, bins array<int>, weights array<float>, at long").filter("bins IS NOT NULL").collect()
     by_lang: dict[str, list] = {}
     for r in rows:
         by_lang.setdefault(r.lang, []).append((r.at, r.bins, r.weights))
@@ -159,9 +167,9 @@ def training_sample(labelled: DataFrame, per_language: int) -> list[tuple[str, R
             for lang, found in sorted(by_lang.items()) for _, b, w in sorted(found)[:per_language]]
 
 
-def _predictor(shared):
+def _predictor(letters, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, model = Grams(), shared.value
+        grams, model = Grams(letters.value), Classifier(*shared.value) if shared.value else None
         for batch in batches:
             texts = batch.column(1)
             for at in range(0, len(batch), BATCH):
@@ -196,7 +204,9 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        held_out.alias("held_out"), F.col(lang_col).cast("string").alias("lang"))
     teach = slim.filter("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL")
-    model = fit(training_sample(teach.select(F.col("doc_id").alias("key"), "text", "lang"), per_language))
-    shared = spark.sparkContext.broadcast(model)
+    # Broadcasts hold plain arrays: an instance of a class would need the package on the executors.
+    letters = spark.sparkContext.broadcast(Grams.letters())
+    model = fit(training_sample(teach.select(F.col("doc_id").alias("key"), "text", "lang"), per_language, letters))
+    shared = spark.sparkContext.broadcast(model and (model.landmarks, model.weights, model.intercept, model.names))
     return slim.select("doc_id", "text", "held_out").mapInArrow(
-        _predictor(shared), "doc_id long, held_out boolean, lang_pred string, score double")
+        _predictor(letters, shared), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -6,7 +6,7 @@ knowing too: the share of good documents of its host, and of its path (host and
 first path segment), estimated from all documents by grouped aggregation. Both
 levels are beta priors whose strength is estimated from the data (method of
 moments): a sparse path is drawn towards its host, a sparse host towards the
-global share. A document's posterior joins its evidence with its path's prior,
+global share; a host of one path has one level only. A document's posterior joins its evidence with its path's prior,
 from which its own contribution is taken out.
 
 Only the regression is fitted on a bounded sample (``per_class`` labelled rows of
@@ -86,10 +86,16 @@ class Evidence:
         share = y.mean()
         self.weights, self.base = w, math.log(share) - math.log1p(-share)
 
-    def scores(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
-        z = np.hstack([z, z ** 2 / 8, np.ones((len(z), 1))])
-        return np.clip(z @ self.weights - self.base, -30, 30)
+    def parts(self) -> tuple:
+        """Plain arrays, for a broadcast: an instance would need the package on the executors."""
+        return self.mean, self.scale, self.weights, self.base
+
+
+def evidence_scores(parts: tuple, x: np.ndarray) -> np.ndarray:
+    mean, scale, weights, base = parts
+    z = np.clip((x - mean) / scale, -8, 8)
+    z = np.hstack([z, z ** 2 / 8, np.ones((len(z), 1))])
+    return np.clip(z @ weights - base, -30, 30)
 
 
 def _sample_features(batches):
@@ -109,7 +115,9 @@ def fit_evidence(docs: DataFrame, labels: DataFrame, text: Column, id_col: str,
     limit = F.when(F.col("good"), per_class / n[True]).otherwise(per_class / n[False])
     # About 2 * per_class rows of an id and a flag: bounded by the parameter, so broadcast.
     sample = F.broadcast(votes.filter(u < limit).select(F.col("doc_id").alias("_label_id"), "good"))
-    rows = (docs.select(F.col(id_col).alias("_id"), text.alias("text")).join(sample, F.col("_id") == F.col("_label_id"))
+    # An id on several rows gives one text, so the driver gets as many rows as ids.
+    rows = (docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("text")).join(sample, F.col("_id") == F.col("_label_id"))
+            .groupBy("_label_id", "good").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
             .select("good", "text").mapInArrow(_sample_features, "good boolean, x array<double>").collect())
     y = np.array([float(r.good) for r in rows])
     if not len(y) or y.min() == y.max():
@@ -149,11 +157,11 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     scratch = Scratch(spark, "quality-classifier")
     text = F.col(f"`{text_col}`").cast("string")
     model, share = fit_evidence(docs, labels, text, id_col, per_class)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model and model.parts())
 
     def evidence(texts: pa.Array) -> pa.Array:
         found = shared.value
-        return pa.array(found.scores(text_features(texts)) if found else np.zeros(len(texts)))
+        return pa.array(evidence_scores(found, text_features(texts)) if found else np.zeros(len(texts)))
 
     host, path = site_of(F.col(f"`{site_col}`"))
     kept = [c for c in docs.columns if c not in ADDED]
@@ -177,11 +185,16 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     sites = Scratch(spark, "quality-classifier-sites").stage(sites, "sites", keep=True)
     scratch.clear()
 
-    known = judged.join(sites.withColumnsRenamed({"n": "_n", "good": "_good", "host_n": "_hn", "host_good": "_hg"}), ["host", "path"])
-    host_prior = (F.col("_hg") - own + host_strength * mean) / (F.col("_hn") - 1 + host_strength)
-    site_prior = F.least(F.greatest((F.col("_good") - own + path_strength * host_prior) / (F.col("_n") - 1 + path_strength),
-                                    F.lit(1e-6)), F.lit(1 - 1e-6))
-    known = known.withColumn("site_prior", site_prior)
-    quality = 1 / (1 + F.exp(-(F.col("evidence") + F.log(F.col("site_prior") / (1 - F.col("site_prior"))))))
+    own = 1 / (1 + F.exp(-(F.col("row.evidence") + base)))
+    known = (judged.select(F.struct("*").alias("row"), "host", "path")
+             .join(sites.withColumnsRenamed({"n": "path_n", "good": "path_good"}), ["host", "path"]))
+    host_prior = (F.col("host_good") - own + host_strength * mean) / (F.col("host_n") - 1 + host_strength)
+    path_prior = (F.col("path_good") - own + path_strength * host_prior) / (F.col("path_n") - 1 + path_strength)
+    # A host of one path: the path says what the host says, and its documents count once.
+    prior = F.when(F.col("path_n") == F.col("host_n"), host_prior).otherwise(path_prior)
+    prior = F.least(F.greatest(prior, F.lit(1e-6)), F.lit(1 - 1e-6))
+    known = known.select("row", "host", "path", prior.alias("site_prior"))
+    quality = 1 / (1 + F.exp(-(F.col("row.evidence") + F.log(F.col("site_prior") / (1 - F.col("site_prior"))))))
     return (known.withColumn("quality", quality).withColumn("kept", F.col("quality") >= threshold)
-            .select(*(F.col(f"`{c}`") for c in kept), *ADDED))
+            .select(*(F.col(f"row.`{c}`") for c in kept), "host", "path", F.col("row.evidence").alias("evidence"),
+                    "site_prior", "quality", "kept"))

@@ -65,6 +65,16 @@ class LongestMatch:
                 if at >= 0:
                     self.fail[node], self.popped[node] = self.children[at][c], count
 
+    def parts(self) -> tuple:
+        """Plain data, for a broadcast: an instance would need the package on the executors."""
+        return self.start, self.children, self.fail, self.popped
+
+    @classmethod
+    def of(cls, parts: tuple) -> LongestMatch:
+        found = cls.__new__(cls)
+        found.start, found.children, found.fail, found.popped = parts
+        return found
+
     def count(self, word: str) -> int:
         """Tokens of the greedy longest-match cut of ``word``; -1 if it has none."""
         children, fail, popped = self.children, self.fail, self.popped
@@ -86,7 +96,7 @@ class LongestMatch:
 
 def _counter(shared, cache_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        automaton = LongestMatch.of(shared.value)
         known: dict[str, int] = {}
         for batch in batches:
             out = {"n_words": [], "n_tokens": [], "n_unknown_words": []}
@@ -126,6 +136,6 @@ def token_counts(docs: DataFrame, vocabulary: list[str], id_col: str = "doc_id",
     * repeated rows are counted each; a null id stays null;
     * an empty table gives an empty result; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(LongestMatch(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast(LongestMatch(vocabulary).parts())
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(_counter(shared, cache_words), SCHEMA)
