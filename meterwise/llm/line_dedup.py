@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import wordhash as W
-from meterwise.llm.packed import packed, unpack_texts
+from meterwise.llm.packed import ROWS, packed, unpack_texts
 from meterwise.llm.store import Scratch
 
 U = np.uint64
@@ -147,14 +147,20 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _without(packed_texts: pa.Array, gone: pa.Array) -> pa.Array:
     """Texts without the lines of the given numbers, their number of lines, and whether a word is left."""
-    out = []
-    for text, numbers in zip(unpack_texts(packed_texts), gone.to_pylist()):
+    kind = pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("left", pa.bool_())])
+    out, parts = [], []
+    for text, numbers in zip(unpack_texts(packed_texts), gone):
         n = 0 if text is None else text.count("\n") + 1
+        numbers = set(numbers.as_py() or ())
         if numbers and text is not None:
-            numbers = set(numbers)
             text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in numbers)
         out.append({"text": text, "n_lines": n, "left": bool(text and text.strip(" \t\n\x0b\x0c\r"))})
-    return pa.array(out, pa.struct([("text", pa.string()), ("n_lines", pa.int64()), ("left", pa.bool_())]))
+        if len(out) == ROWS:
+            parts.append(pa.array(out, kind))
+            out = []
+    done = pa.concat_arrays([*parts, pa.array(out, kind)])
+    pa.default_memory_pool().release_unused()
+    return done
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -153,7 +153,7 @@ def _confirm(width: int, percent: int):
             sides = []
             for col in (2, 3):
                 sets = []
-                for _, _, data, offsets in W.slices(pa.array(unpack_texts(batch.column(col)), pa.string())):
+                for _, _, data, offsets in W.slices(pa.array(list(unpack_texts(batch.column(col))), pa.string())):
                     s, bounds = shingle_sets(hasher, data, offsets, width)
                     sets += [s[bounds[r]:bounds[r + 1]] for r in range(len(offsets) - 1)]
                 sides.append(sets)
@@ -168,8 +168,8 @@ def _shingle_rows(width: int):
     """(node, shingle) rows of (node, packed text) rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = W.Hasher(lower=True)
-        for batch in batches:
-            for a, b, data, offsets in W.slices(pa.array(unpack_texts(batch.column(1)), pa.string())):
+        for batch in (b.slice(at, 256) for b in batches for at in range(0, len(b), 256)):
+            for a, b, data, offsets in W.slices(pa.array(list(unpack_texts(batch.column(1))), pa.string())):
                 sets, bounds = shingle_sets(hasher, data, offsets, width)
                 take = pa.array(np.repeat(np.arange(a, b), np.diff(bounds)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(take), pa.array(W.signed(sets))], names=["node", "x"])
@@ -187,7 +187,7 @@ def _samples(width: int):
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
                 levels, lost, samples = [], [], []
-                for _, _, data, offsets in W.slices(pa.array(unpack_texts(part.column(1)), pa.string())):
+                for _, _, data, offsets in W.slices(pa.array(list(unpack_texts(part.column(1))), pa.string())):
                     sets, bounds = shingle_sets(hasher, data, offsets, width)
                     for r in range(len(offsets) - 1):
                         one = sets[bounds[r]:bounds[r + 1]]

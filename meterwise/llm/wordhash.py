@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-BLOCK = 1 << 20
+#: Bytes worked on at once: a block takes some 60 bytes of arrays for each, in every worker.
+BLOCK = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 INV = pow(BASE, -1, 1 << 64)
 
@@ -119,6 +120,7 @@ def slices(texts: pa.Array, max_bytes: int = BLOCK) -> Iterator[tuple[int, int,
         stop = min(stop, len(texts))
         yield at, stop, raw[offsets[at]:offsets[stop]], offsets[at:stop + 1] - offsets[at]
         at = stop
+    pa.default_memory_pool().release_unused()  # workers are reused: give a batch's memory back
 
 
 def signed(x: np.ndarray) -> np.ndarray:
