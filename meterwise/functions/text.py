@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # The separators of the reference word count.
 WORD_SEPARATOR = " "
-LINE_SEPARATOR = "\n"
+LINE_SEPARATOR = "\r\n|\r|\n"
 
 
 def _c(col: str | Column) -> Column:

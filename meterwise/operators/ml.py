@@ -9,19 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import CountVectorizer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterwise.operators.inspect import collect_bounded, small_frame
-from meterwise.operators.rowindex import positional_split, with_row_index
+from meterwise.operators.rowindex import with_row_index
+from meterwise.operators.selection import positional_flag
 from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD
-from meterwise.session import ensure_checkpoint_dir
+from meterwise.session import delete_path, ensure_checkpoint_dir, scratch_path
 
 METRICS = ("mae", "rmse", "mse", "r2")
 
@@ -154,28 +158,38 @@ SCORE_SCHEMA = T.StructType([
 
 def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label: str,
                    features: str = "features", max_bins: int = 32, seed: int = 42,
-                   models: Sequence[str] | None = None) -> DataFrame:
+                   models: Sequence[str] | None = None, learners: dict | None = None) -> DataFrame:
     """Fit each learner on ``train``, score on ``test``: one row per model (M9).
 
-    Train and test are cached for the iterative learners and released after.
+    Both are written once to the shared folder, which the iterative learners read: a lost
+    executor costs its tasks, not a cache. ``learners`` (default :func:`regressors`) maps names to estimators.
     """
     ensure_checkpoint_dir(spark)  # GBT checkpoints its lineage every 10 rounds
-    learners = regressors(label, features, max_bins, seed)
+    learners = learners or regressors(label, features, max_bins, seed)
     chosen = list(models) if models is not None else list(learners)
-    train, test = train.cache(), test.cache()
+    paths = [scratch_path(spark, "comparison") for _ in range(2)]
     rows = []
-    try:
-        for name in chosen:
-            fitted = learners[name].fit(train)
-            s = scores(fitted.transform(test), label)
-            rows.append((name, s["mae"], s["rmse"], s["mse"], s["r2"], s["exact_share"],
-                         s["n_test"]))
-    finally:
-        train.unpersist()
-        test.unpersist()
+    for df, path in zip((train, test), paths):
+        df.write.parquet(path)
+    train, test = (spark.read.schema(df.schema).parquet(path) for df, path in zip((train, test), paths))
+    for name in chosen:
+        s = scores(learners[name].fit(train).transform(test), label)
+        rows.append((name, s["mae"], s["rmse"], s["mse"], s["r2"], s["exact_share"], s["n_test"]))
+    for path in paths:
+        delete_path(spark, path)
     return small_frame(spark, rows, SCORE_SCHEMA)
 
 
+def cell_learners(label: str, features: str = "features") -> dict:
+    """The compared learners without randomness: on nominal features of few values every tree
+    learner reaches the mean of each combination, so scores have a closed form.
+    """
+    common = {"labelCol": label, "featuresCol": features}
+    return {"linear_regression": LinearRegression(solver="normal", **common), "decision_tree": DecisionTreeRegressor(**common),
+            "random_forest": RandomForestRegressor(numTrees=1, featureSubsetStrategy="all", bootstrap=False, **common),
+            "gbt": GBTRegressor(maxIter=1, **common)}
+
+
 def household_group_features(readings: DataFrame, label: str = ENERGY, keep: Sequence[str] = ()) -> DataFrame:
     """Codes of household and social group -> ``features``, energy -> ``label`` (§2.8).
 
@@ -223,8 +237,9 @@ def label_encoded_regression(spark: SparkSession, readings: DataFrame,
                              fraction: float = 0.8) -> DataFrame:
     """M10 + M11 + M12: alphabetical codes, first 80 % in ``order`` to train, MAE on the rest."""
     names = [f"{c}_code" for c in columns]
-    coded, _ = index_many(readings, list(columns), names, order="alphabetAsc")
-    train, test = positional_split(coded, order, fraction)
+    flagged = positional_flag(readings, order, fraction, "_train")
+    coded, _ = index_many(flagged, list(columns), names, order="alphabetAsc")
+    train, test = coded.filter("_train"), coded.filter("NOT _train")
     model = linear_fit(train, names, label)
     preds = model.transform(assemble(test.select(*names, label), names))
     s = scores(preds, label)
@@ -234,8 +249,56 @@ def label_encoded_regression(spark: SparkSession, readings: DataFrame,
 
 def count_vectorize(df: DataFrame, text_col: str, vocab_size: int = 4, min_df: float = 1.0,
                     pattern: str = " "):
-    """``split`` to an array, then ``CountVectorizer`` (M13); returns (model, vectors)."""
-    arr = df.withColumn("_tokens", F.split(F.col(text_col), pattern))
-    model = CountVectorizer(inputCol="_tokens", outputCol="counts", vocabSize=vocab_size,
-                            minDF=min_df).fit(arr)
+    """``split`` to an array, then count vectors (M13); returns (model, vectors).
+
+    The vocabulary is the ``vocab_size`` most frequent tokens, ties in code-point order, that are in at least
+    ``min_df`` rows (a share of the rows below 1). A null text has no tokens.
+    """
+    arr = df.withColumn("_tokens", F.coalesce(F.split(F.col(text_col), pattern), F.array().cast("array<string>")))
+    terms = arr.select(F.explode("_tokens").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    if min_df != 1:
+        least = min_df if min_df > 1 else min_df * df.count()
+        rows = arr.select(F.explode(F.array_distinct("_tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+        terms = terms.join(rows.filter(F.col("rows") >= least), "term", "left_semi")
+    vocabulary = [r.term for r in terms.orderBy(F.desc("n"), "term").limit(vocab_size).collect()]
+    model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_tokens", outputCol="counts")
     return model, model.transform(arr).drop("_tokens")
+
+
+def vocabulary_counts(model: CountVectorizerModel, vectors: DataFrame, col: str = "counts") -> DataFrame:
+    """``(term_index, term, term_count)``: the model's vectors summed over all rows (as mean times weight, so rounded)."""
+    total = vectors.agg(Summarizer.sum(vectors[col]).alias("total"))
+    terms = F.array(*(F.lit(t) for t in model.vocabulary))
+    return (total.select(F.posexplode(vector_to_array("total")).alias("term_index", "n"))
+            .select("term_index", F.get(terms, F.col("term_index")).alias("term"), F.round("n").cast("long").alias("term_count")))
+
+
+def classify_group(readings: DataFrame, value: str = ENERGY, group: str = GROUP) -> dict:
+    """M15 as classification: multinomial logistic regression of the social group on energy.
+
+    Returns ``shares`` (group, n, observed_share, fitted_share: the mean fitted probability), ``accuracy`` and
+    ``log_loss`` over all rows. At the maximum of the likelihood fitted and observed shares are equal.
+    """
+    known = readings.select(group, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
+    coded, _ = index_many(known, [group], ["_code"])
+    data = assemble(coded.filter("_code IS NOT NULL"), ["_x"])
+    model = LogisticRegression(featuresCol="features", labelCol="_code", family="multinomial", maxIter=200, tol=1e-10).fit(data)
+    p = vector_to_array("probability")
+    scored = model.transform(data).select(group, "_code", "prediction", p.alias("p"))
+    own = F.get("p", F.col("_code").cast("int"))
+    totals = scored.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("_code")).cast("double")).alias("accuracy"),
+                        F.avg(-F.log(own)).alias("log_loss"), F.array(*(F.avg(F.get("p", F.lit(i))) for i in range(model.numClasses))).alias("fitted"))
+    found = totals.first()
+    fitted = F.get(F.array(*(F.lit(x) for x in found["fitted"])), F.col("_code").cast("int"))
+    shares = (scored.groupBy(group, "_code").agg(F.count(F.lit(1)).alias("n"))
+              .select(group, "n", (F.col("n") / found["n"]).alias("observed_share"), fitted.alias("fitted_share")))
+    return {"shares": shares, "accuracy": found["accuracy"], "log_loss": found["log_loss"]}
+
+
+def persisted_pipeline(readings: DataFrame, path: str, label: str = ENERGY) -> PipelineModel:
+    """Group indexer, assembler and tree fitted as one pipeline, saved to ``path`` and read back."""
+    known = readings.select(GROUP, label).filter(F.col(GROUP).isNotNull() & F.col(label).isNotNull())
+    stages = [StringIndexer(inputCol=GROUP, outputCol="group_code"), VectorAssembler(inputCols=["group_code"], outputCol="features"),
+              DecisionTreeRegressor(labelCol=label, featuresCol="features")]
+    Pipeline(stages=stages).fit(known).write().overwrite().save(path)
+    return PipelineModel.load(path)

@@ -56,12 +56,3 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "ro
                   .withColumn(name, F.col(_OFF) + local)
                   .drop(_PID, _MID, _OFF))
 
-
-def positional_split(df: DataFrame, order: Sequence[str | Column], fraction: float = 0.8,
-                     ) -> tuple[DataFrame, DataFrame]:
-    """First ``fraction`` of the rows in ``order`` vs the rest (M11, pandas ``iloc``)."""
-    indexed = with_row_index(df, order, "_pos")
-    n = indexed.count()
-    cut = int(n * fraction)
-    return (indexed.filter(F.col("_pos") < cut).drop("_pos"),
-            indexed.filter(F.col("_pos") >= cut).drop("_pos"))

@@ -46,8 +46,13 @@ def pair_text(word_col: str = "word", count_col: str = "count") -> F.Column:
     Python's repr quotes with ``'`` unless the word holds ``'`` and no ``"``.
     """
     w = F.col(word_col)
-    escaped = F.replace(F.replace(w, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
+    # After the backslash: tab, line feed, carriage return by letter, other controls by number.
+    named = {9: "\\t", 10: "\\n", 13: "\\r"}
+    plain = F.replace(w, F.lit("\\"), F.lit("\\\\"))
+    for code in (*range(32), *range(127, 161), 173):
+        plain = F.replace(plain, F.lit(chr(code)), F.lit(named.get(code, f"\\x{code:02x}")))
+    escaped = F.replace(plain, F.lit("'"), F.lit("\\'"))
     dq = w.contains("'") & ~w.contains('"')
-    body = F.when(dq, F.concat(F.lit('"'), F.replace(w, F.lit("\\"), F.lit("\\\\")), F.lit('"'))) \
+    body = F.when(dq, F.concat(F.lit('"'), plain, F.lit('"'))) \
             .otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
     return F.concat(F.lit("("), body, F.lit(", "), F.col(count_col).cast("string"), F.lit(")"))

@@ -537,8 +537,10 @@ codes AS (
 SELECT {HOUSEHOLD}, code, COUNT(*) AS n FROM gaps LEFT JOIN codes ON h = {HOUSEHOLD} GROUP BY 1, 2""")
 def index_with_nulls(spark, sf_dir):
     """A missing household gets a missing code."""
-    coded = ML.index(_gaps(spark, sf_dir).select(HOUSEHOLD), HOUSEHOLD, "code")
-    return coded.groupBy(HOUSEHOLD, "code").agg(F.count(F.lit(1)).alias("n"))
+    rows = _gaps(spark, sf_dir).select(HOUSEHOLD)
+    codes = ML.code_table(rows, HOUSEHOLD).select(HOUSEHOLD, "code")
+    # Counted before the join: each household is one row on both sides.
+    return C.count_by(rows, HOUSEHOLD, "n").join(codes, HOUSEHOLD, "left").select(HOUSEHOLD, "code", "n")
 
 
 @query("split_by_hash", """
@@ -697,14 +699,7 @@ FROM counts ORDER BY term_count DESC, term LIMIT 4""")
 def count_vector(spark, sf_dir):
     """Vocabulary of the 4 most frequent tokens, with their corpus counts."""
     docs = table(spark, sf_dir, "documents").select("text")
-    model, _ = ML.count_vectorize(docs, "text", vocab_size=4, min_df=1.0)
-    vocab = small_frame(spark, list(enumerate(model.vocabulary)),
-                        T.StructType([T.StructField("term_index", T.IntegerType()),
-                                      T.StructField("term", T.StringType())]))
-    counts = (docs.select(F.explode(F.split("text", " ")).alias("term"))
-                  .join(F.broadcast(vocab), "term")  # at most vocab_size rows
-                  .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))
-    return vocab.join(counts, "term").select("term_index", "term", "term_count")
+    return ML.vocabulary_counts(*ML.count_vectorize(docs, "text", vocab_size=4, min_df=1.0))
 
 
 # ---- incremental load (§3.1 as a stream) -----------------------------------
@@ -749,3 +744,128 @@ def total_by_group_formatted(spark, sf_dir):
     """Group totals as display text with thousands separators."""
     totals = C.sum_by(_readings(spark, sf_dir), GROUP, ENERGY, "TotalKWH", exact_scale=3)
     return totals.select(GROUP, formatted_number("TotalKWH", 2).alias("TotalKWH_text"))
+
+
+# ---- verified models, exact sums, quarantine, reload ------------------------
+
+_CELL_CODES = """
+rows AS (
+  SELECT l_returnflag AS g, l_linestatus AS t, l_quantity / 10 AS y,
+         (CAST('0x' || substr(md5(l_orderkey || '|' || l_linenumber), 1, 8) AS BIGINT) % 10000) < 8000 AS train
+  FROM lineitem),
+coded AS (
+  SELECT *, CAST(dense_rank() OVER (ORDER BY g) - 1 AS DOUBLE) AS a, CAST(dense_rank() OVER (ORDER BY t) - 1 AS DOUBLE) AS b FROM rows)"""
+
+
+@query("model_comparison_cells", f"""
+WITH {_CELL_CODES},
+m AS (SELECT var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) AS sab, covar_pop(a, y) AS say, covar_pop(b, y) AS sby,
+             avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM coded WHERE train),
+c AS (SELECT (sbb * say - sab * sby) / (saa * sbb - sab * sab) AS ca, (saa * sby - sab * say) / (saa * sbb - sab * sab) AS cb, ma, mb, my FROM m),
+cells AS (SELECT g, t, avg(y) AS p FROM coded WHERE train GROUP BY g, t),
+scored AS (
+  SELECT 'linear_regression' AS model, y, my + ca * (a - ma) + cb * (b - mb) AS p FROM coded, c WHERE NOT train
+  UNION ALL
+  SELECT model, y, p FROM coded JOIN cells USING (g, t), (VALUES ('decision_tree'), ('random_forest'), ('gbt')) v(model) WHERE NOT train)
+SELECT model, ROUND(AVG(ABS(p - y)), 6) AS mae, ROUND(SQRT(AVG((p - y) * (p - y))), 6) AS rmse, ROUND(AVG((p - y) * (p - y)), 6) AS mse,
+       ROUND(1 - AVG((p - y) * (p - y)) / var_pop(y), 6) AS r2, COUNT(*) AS n_test
+FROM scored GROUP BY model""")
+def model_comparison_cells(spark, sf_dir):
+    """M9 with a closed form: the four learners on (group, tariff) codes, split by key hash."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias(GROUP), F.col("l_linestatus").alias(TARIFF),
+        (F.col("l_quantity") / F.lit(10)).alias(ENERGY))
+    coded, _ = ML.index_many(rows, [GROUP, TARIFF], ["group_code", "tariff_code"], order="alphabetAsc")
+    train, test = ML.hash_split(ML.assemble(coded, ["group_code", "tariff_code"]), ["l_orderkey", "l_linenumber"], 0.8)
+    found = ML.compare_models(spark, train.select("features", ENERGY), test.select("features", ENERGY), ENERGY,
+                              learners=ML.cell_learners(ENERGY))
+    return found.select("model", *(F.round(c, 6).alias(c) for c in ML.METRICS), "n_test")
+
+
+@query("reproducible_totals", """
+SELECT l_returnflag AS g, l_linestatus AS t, ROUND(SUM(CAST(CAST(l_quantity AS DOUBLE) * l_extendedprice AS DECIMAL(38, 6))), 2)::DOUBLE AS total,
+       ROUND(AVG(CAST(l_quantity AS DOUBLE) * l_extendedprice), 6) AS avg, COUNT(*) AS n
+FROM lineitem GROUP BY 1, 2""")
+def reproducible_totals(spark, sf_dir):
+    """Sums and means of doubles, bit by bit the same under any partitioning."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("g"), F.col("l_linestatus").alias("t"),
+                                                   (F.col("l_quantity").cast("double") * F.col("l_extendedprice")).alias("x"))
+    found = C.reproducible_by(rows, ["g", "t"], "x")
+    return found.select("g", "t", F.round("total", 2).alias("total"), F.round("avg", 6).alias("avg"), "n")
+
+
+_BAD_CELLS = """
+  l_linenumber = 6 AS bad_time, l_quantity > 45 AS bad_energy"""
+
+
+@query("quarantined_load", f"""
+WITH r AS (SELECT {_BAD_CELLS} FROM lineitem)
+SELECT 'DateTime' AS reason, COUNT(*) AS n_cells FROM r WHERE bad_time
+UNION ALL SELECT '{ENERGY}', COUNT(*) FROM r WHERE bad_energy
+UNION ALL SELECT '_good', COUNT(*) FROM r WHERE NOT bad_time AND NOT bad_energy
+UNION ALL SELECT '_rejected', COUNT(*) FROM r WHERE bad_time OR bad_energy""")
+def quarantined_load(spark, sf_dir):
+    """A file with unreadable times and energies; good rows, rejected rows and reasons counted."""
+    lines = table(spark, sf_dir, "lineitem")
+    cells = standins.readings(lines).columns
+    raw = lines.select("l_linenumber", "l_quantity", *standins.reading_columns()).select(
+        *(F.when(F.col("l_linenumber") == 6, F.lit("some day")).otherwise(F.col(c).cast("string")).alias(c) if c == TIME
+          else F.when(F.col("l_quantity") > 45, F.lit("n/a")).otherwise(F.col(c).cast("string")).alias(c) if c == ENERGY
+          else F.col(c) for c in cells))
+    path = SNK.write_csv(raw, scratch_path(spark, "bad-cells-csv"), header=True)
+    good, rejected, reasons = SRC.read_quarantined_csv(spark, path)
+    sizes = [df.agg(F.lit(name).alias("reason"), F.count(F.lit(1)).alias("n_cells")) for name, df in (("_good", good), ("_rejected", rejected))]
+    return reasons.unionByName(sizes[0]).unionByName(sizes[1])
+
+
+@query("month_reload", _READINGS_ORACLE)
+def month_reload(spark, sf_dir):
+    """K1, K7: a month loaded wrong, then right, then again: each reload replaces that month only."""
+    rows, path = _readings(spark, sf_dir), scratch_path(spark, "reloaded-months")
+    march = rows.filter((F.year(TIME) == 1995) & (F.month(TIME) == 3))
+    SNK.reload_months(rows, path)
+    SNK.reload_months(march.withColumn(ENERGY, F.col(ENERGY) * 1000), path)
+    for _ in range(2):
+        SNK.reload_months(march, path)
+    return SRC.read_parquet(spark, path).drop("year", "month")
+
+
+@query("contrast_errors", f"""
+WITH {READINGS_SQL},
+each AS (
+  SELECT {MONTH_SQL} AS Month, {HOUSEHOLD},
+         coalesce(SUM({ENERGY}) FILTER ({TARIFF} = '{WARNED}'), 0) AS sw, COUNT(*) FILTER ({TARIFF} = '{WARNED}') AS nw,
+         coalesce(SUM({ENERGY}) FILTER ({TARIFF} = '{FLAT}'), 0) AS sf, COUNT(*) FILTER ({TARIFF} = '{FLAT}') AS nf
+  FROM readings GROUP BY 1, 2),
+m AS (SELECT Month, SUM(sw) / NULLIF(SUM(nw), 0) AS mw, SUM(sf) / NULLIF(SUM(nf), 0) AS mf, SUM(nw) AS cw, SUM(nf) AS cf, COUNT(*) AS n
+      FROM each GROUP BY 1),
+v AS (SELECT Month, mw - mf AS diff, SQRT(SUM(((sw - nw * mw) / cw - (sf - nf * mf) / cf) ** 2)) AS se, n
+      FROM each JOIN m USING (Month) GROUP BY Month, mw, mf, n)
+SELECT Month, ROUND(diff, 4) AS diff, ROUND(se, 4) AS std_err, ROUND(diff / NULLIF(se, 0), 3) AS t_value, n AS n_households FROM v""")
+def contrast_errors(spark, sf_dir):
+    """Is the difference of the tariff groups larger than its clustered error?"""
+    found = C.contrast_errors(_readings(spark, sf_dir), warned=WARNED, flat=FLAT)
+    return found.select("Month", F.round("diff", 4).alias("diff"), F.round("std_err", 4).alias("std_err"),
+                        F.round("t_value", 3).alias("t_value"), "n_households")
+
+
+@query("group_classification", f"""
+WITH {READINGS_SQL}
+SELECT {GROUP}, COUNT(*) AS n, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 4) AS observed_share,
+       ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 4) AS fitted_share
+FROM readings GROUP BY 1""")
+def group_classification(spark, sf_dir):
+    """Multinomial regression of the group on energy; its score equations make fitted and observed shares equal."""
+    shares = ML.classify_group(_readings(spark, sf_dir))["shares"]
+    return shares.select(GROUP, "n", F.round("observed_share", 4).alias("observed_share"), F.round("fitted_share", 4).alias("fitted_share"))
+
+
+@query("persisted_pipeline", f"""
+WITH {READINGS_SQL}
+SELECT {GROUP}, ROUND(AVG({ENERGY}), 6) AS prediction, COUNT(*) AS n FROM readings GROUP BY 1""")
+def persisted_pipeline(spark, sf_dir):
+    """A fitted pipeline saved to the shared folder and read back scores all rows."""
+    rows = _readings(spark, sf_dir)
+    model = ML.persisted_pipeline(rows, scratch_path(spark, "group-pipeline"))
+    scored = model.transform(rows.select(GROUP))
+    return scored.groupBy(GROUP, F.round("prediction", 6).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))

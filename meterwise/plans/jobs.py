@@ -14,7 +14,7 @@ from meterwise.operators.clean import drop_incomplete
 from meterwise.operators.consumption import in_range
 from meterwise.operators.wordcount import pair_text, word_count
 from meterwise.schemas import PEOPLE_SCHEMA, READING_SCHEMA, TIME
-from meterwise.session import scratch_path, shuffle_width
+from meterwise.session import delete_path, scratch_path, shuffle_width
 from meterwise.sources import documents as D
 from meterwise.sources.files import read_json, read_parquet, read_readings_csv, read_text
 from meterwise.sources.sinks import with_month_partitions, write_csv, write_parquet, write_text
@@ -50,6 +50,7 @@ def load_readings(spark: SparkSession, csv_path: str | list[str], parquet_path:
                     .repartitionByRange(shuffle_width(flat_rows), "year", "month", TIME,
                                         F.monotonically_increasing_id()))
         write_parquet(laid_out, parquet_path, mode, ["year", "month"])
+        delete_path(spark, flat)
         staged = read_parquet(spark, parquet_path).drop("year", "month")
     else:
         write_parquet(clean, parquet_path, mode)

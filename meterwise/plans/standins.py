@@ -15,7 +15,7 @@ Parquet scan of ``lineitem``. The matching DuckDB text lives next to each one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.schemas import ACORN, ENERGY, GROUP, HOUSEHOLD, TARIFF, TIME
@@ -30,15 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def readings(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
+def reading_columns() -> list[Column]:
+    return [
         F.col("l_suppkey").cast("string").alias(HOUSEHOLD),
         F.col("l_linestatus").alias(TARIFF),
         F.col("l_shipdate").alias(TIME),
         (F.col("l_quantity") / F.lit(10)).alias(ENERGY),
         F.concat_ws("-", "l_returnflag", "l_linestatus").alias(ACORN),
         F.col("l_returnflag").alias(GROUP),
-    )
+    ]
+
+
+def readings(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(*reading_columns())
 
 
 READINGS_SQL = f"""readings AS (

@@ -87,6 +87,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/meterwise-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def input_bytes(df) -> int:
     """Bytes of the tables that ``df`` reads, from the plan's statistics (0 if unknown). Runs no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

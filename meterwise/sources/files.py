@@ -7,6 +7,7 @@ for exploration only (it costs a full extra pass over the input).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterwise.operators.clean import NULL_MARKER, cast_to_schema, drop_header_rows, rename_positional
@@ -44,6 +45,28 @@ def read_tolerant_csv(spark: SparkSession, path: str | list[str],
                              null_value=NULL_MARKER)
 
 
+def read_quarantined_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = READING_SCHEMA,
+                         null_value: str = NULL_MARKER) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bad cells reported instead of silently null (S13): ``(good, rejected, reasons)``.
+
+    ``good`` has the schema's types; a cell that is empty or holds the marker is null there. ``rejected`` has the
+    cells as text and ``_reasons``: for each bad cell its column, or ``_line`` where the line has another
+    number of cells than the schema. ``reasons`` counts them: ``reason, n_cells``.
+    """
+    line = "_line"
+    text = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema), T.StructField(line, T.StringType())])
+    raw = (spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", line)
+           .option("enforceSchema", True).option("nullValue", null_value)
+           .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path))
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema}
+    bad = [F.when(F.col(f"`{n}`").isNotNull() & t.isNull(), F.lit(n)) for n, t in typed.items()]
+    judged = raw.withColumn("_reasons", F.array_compact(F.array(*bad, F.when(F.col(line).isNotNull(), F.lit(line)))))
+    good = judged.filter(F.size("_reasons") == 0).select(*(t.alias(n) for n, t in typed.items()))
+    rejected = judged.filter(F.size("_reasons") > 0)
+    reasons = rejected.select(F.explode("_reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_cells"))
+    return good, rejected, reasons
+
+
 def read_csv_strings(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Header names taken from the file, every column a string (S3)."""
     return spark.read.option("header", True).csv(path)

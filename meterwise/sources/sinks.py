@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.schemas import TIME
+from meterwise.session import shuffle_width
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -29,6 +30,18 @@ def with_month_partitions(df: DataFrame, ts: str = TIME) -> DataFrame:
     return df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
 
 
+def reload_months(df: DataFrame, path: str, ts: str = TIME) -> str:
+    """Replace the months that ``df`` holds in a year/month layout; other months' files stay (K1, K7).
+
+    Loading the same rows again changes nothing. Rows without a time go to the default month folder.
+    """
+    laid_out = with_month_partitions(df, ts).repartitionByRange(
+        shuffle_width(df), "year", "month", ts, F.monotonically_increasing_id())
+    (laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month").parquet(path))
+    return path
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = False) -> str:
     """Folder of CSV parts; no header line unless asked (K3)."""
     df.write.mode(mode).option("header", header).csv(path)

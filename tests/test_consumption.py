@@ -1,5 +1,9 @@
 """Aggregates, filters, order; DataFrame = SQL."""
 
+import datetime as dt
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +128,45 @@ def test_small_readings_are_not_lost(spark):
     import pytest
     with pytest.raises(Exception, match="decimal places"):
         C.grand_total(df, exact_scale=3).collect()
+
+
+def test_reproducible_sums_are_bit_equal(spark):
+    rnd = random.Random(1)
+    xs = [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-8, 8) for _ in range(3000)] + [None, 1e8, -1e8, 5e-324]
+    df = spark.createDataFrame([(i % 3, x) for i, x in enumerate(xs)], "g int, x double")
+    seen = set()
+    for n in (1, 7, 200):
+        for order in ("x", "g"):
+            rows = C.reproducible_by(df.repartition(n).sortWithinPartitions(order), "g", "x").orderBy("g").collect()
+            seen.add(tuple((r.total.hex(), r.avg.hex(), r.n) for r in rows))
+    assert len(seen) == 1
+    for g, (total, _, n) in enumerate(next(iter(seen))):
+        mine = [x for i, x in enumerate(xs) if i % 3 == g and x is not None]
+        assert n == len(mine) and float.fromhex(total) == pytest.approx(math.fsum(mine), rel=1e-15)
+
+
+def test_reproducible_sums_of_nothing_and_infinities(spark):
+    df = spark.createDataFrame([(1, None), (2, 0.0), (3, float("inf")), (3, 1.0), (4, float("inf")), (4, float("-inf"))], "g int, x double")
+    got = {r.g: r.total for r in C.reproducible_by(df, "g", "x").collect()}
+    assert got[1] is None and got[2] == 0.0 and got[3] == float("inf") and math.isnan(got[4])
+
+
+def test_top_k_has_two_levels(spark):
+    df = spark.range(0, 5000, numPartitions=40).select(((F.col("id") * 7919) % 1000).cast("double").alias("x"), "id")
+    best = C.top_k(df, 7, by="x")
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in best.collect()] == sorted(((float(i * 7919 % 1000), i) for i in range(5000)), key=lambda t: (-t[0], t[1]))[:7]
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan and "hashpartitioning(_bucket" in plan
+
+
+def test_contrast_errors_of_a_hand_made_month(spark):
+    day = dt.datetime(2013, 1, 5)
+    rows = [("a", "ToU", day, 1.0), ("a", "ToU", day, 3.0), ("b", "ToU", day, 5.0), ("c", "Std", day, 2.0), ("d", "Std", day, 4.0), ("d", "Std", day, 6.0),
+            ("e", "Std", day, None), (None, "Std", day, 9.0), ("f", "ToU", dt.datetime(2013, 2, 1), 1.0)]
+    df = spark.createDataFrame(rows, "LCLid string, stdorToU string, DateTime timestamp_ntz, KWH_per_hh_per_30min double")
+    got = {r.Month: r for r in C.contrast_errors(df).collect()}
+    parts = [(4 - 2 * 3) / 3, (5 - 3) / 3, -(2 - 4) / 3, -(10 - 2 * 4) / 3]
+    se = math.sqrt(sum(p * p for p in parts))
+    jan = got["2013-1"]
+    assert (jan["diff"], jan.std_err, jan.t_value, jan.n_households) == pytest.approx((-1.0, se, -1 / se, 4))
+    assert (got["2013-2"]["diff"], got["2013-2"].std_err, got["2013-2"].t_value) == (None, None, None)

@@ -1,12 +1,18 @@
 """M1-M15 and the distributed row index."""
 
+import datetime as dt
+import math
+import random
+
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterwise.operators import ml as ML
-from meterwise.operators.rowindex import positional_split, with_row_index
+from meterwise.operators.rowindex import with_row_index
+from meterwise.operators.selection import positional_split, select_at
 from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD
 
 
@@ -155,3 +161,62 @@ def test_codes_nulls_and_metadata_do_not_depend_on_the_join(spark, threshold):
         assert coded.schema["c"].metadata["ml_attr"] == {"type": "nominal", "name": "c", "num_vals": 4} and sizes == {"c": 4}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_m11_selection_equals_sorting(spark):
+    rnd = random.Random(2)
+    rows = [(rnd.choice([None, "a", "b", "c"]), rnd.choice([None, 1.5, 2.5, float("nan")]), rnd.randint(0, 3), dt.datetime(2013, 1, rnd.randint(1, 3)))
+            for _ in range(300)] + [("b", 2.5, 1, dt.datetime(2013, 1, 1))] * 200
+    df = spark.createDataFrame(rows, "s string, x double, i int, t timestamp_ntz").repartition(7)
+    rank = lambda v: (v is not None, v is not None and v != v, v if v is not None and v == v else 0)
+    key = lambda r: ((r[0] is not None, r[0] or ""), rank(r[1]), r[2], r[3])
+    for order, k in ((["s", "x"], 10), (["s", "x"], 350), (["x", "t"], 499), ([], 250)):
+        cut = select_at(df, order, k)
+        assert cut.before <= k < cut.before + cut.equal
+        assert df.filter(cut.precedes()).count() == cut.before and df.filter(cut.equals()).count() == cut.equal
+    train, test = positional_split(df, ["s", "x", "i", "t"], 0.7)
+    want = sorted(rows, key=key)
+    assert [key(r) for r in sorted((tuple(r) for r in train.collect()), key=key)] == [key(r) for r in want[:350]]
+    assert [key(r) for r in sorted((tuple(r) for r in test.collect()), key=key)] == [key(r) for r in want[350:]]
+    for fraction in (0.0, 1.0):
+        assert positional_split(df, ["s"], fraction)[0].count() == int(500 * fraction)
+
+
+def test_m11_split_moves_no_rows(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity")
+    train, _ = positional_split(df, ["l_orderkey", "l_linenumber"], 0.8)
+    plan = train._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and "PushedFilters: [Or(" in plan
+
+
+def test_m13_vectors_sum_to_counts_and_ties_by_term(spark):
+    df = spark.createDataFrame([("b a b",), ("c a",), (None,), ("d d c",)], "t string")
+    model, vectors = ML.count_vectorize(df, "t", vocab_size=3)
+    assert [tuple(r) for r in ML.vocabulary_counts(model, vectors).orderBy("term_index").collect()] == [(0, "a", 2), (1, "b", 2), (2, "c", 2)]
+    assert ML.count_vectorize(df, "t", vocab_size=3, min_df=2)[0].vocabulary == ["a", "c"]
+
+
+def test_m15_fitted_shares_and_log_loss(spark, table):
+    found = ML.classify_group(table)
+    shares = found["shares"].collect()
+    assert all(r.fitted_share == pytest.approx(r.observed_share, abs=1e-5) for r in shares)
+    entropy = -sum(r.observed_share * math.log(r.observed_share) for r in shares)
+    assert 0 < found["log_loss"] <= entropy + 1e-9 and 0 < found["accuracy"] <= 1
+
+
+def test_m14_saved_pipeline_predicts_alike(spark, table, out):
+    model = ML.persisted_pipeline(table, out + "/pipeline")
+    again = PipelineModel.load(out + "/pipeline")
+    rows = table.filter(F.col(GROUP).isNotNull())
+    assert sorted(r.prediction for r in model.transform(rows).collect()) == sorted(r.prediction for r in again.transform(rows).collect())
+
+
+def test_m9_scores_do_not_depend_on_partitions(spark):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    seen = []
+    for n in (1, 4):
+        coded, _ = ML.index_many(lines.repartition(n), ["l_returnflag"], ["code"])
+        train, test = ML.hash_split(ML.assemble(coded, ["code"]), ["l_orderkey", "l_linenumber"])
+        scores = ML.compare_models(spark, train, test, "l_quantity", learners=ML.cell_learners("l_quantity"))
+        seen.append([(r.model, round(r.mae, 9), round(r.mse, 9), r.n_test) for r in scores.collect()])
+    assert seen[0] == seen[1]

@@ -78,7 +78,9 @@ def test_shuffle_width_follows_input_bytes_and_runs_no_job(spark):
 CODED = {"Window", "BroadcastExchange"}
 BOUNDED = {"index_household_join": CODED, "index_frequency": CODED, "index_alphabetical": CODED,
            "index_with_nulls": CODED, "trees_on_group": CODED, "fine_totals": {"BroadcastExchange"},
-           "count_vector": {"BroadcastExchange"}}
+           "count_vector": {"BroadcastExchange"}, "group_classification": CODED,
+           # Ranks within a group of tasks, behind a group limit of k rows on both sides of the shuffle.
+           "top_readings": {"Window"}, "lowest_readings": {"Window"}}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))

@@ -1,5 +1,6 @@
 """Readers, writers and round trips."""
 
+import glob
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.errors import AnalysisException
 
 from fixtures import HEADER, N_ROWS, PEOPLE_JSON, TEXT_LINES, meter_csv, write_lines
 from meterwise import config
+from meterwise.functions.text import explode_lines
 from meterwise.operators.wordcount import pair_text
 from meterwise.plans import jobs
 from meterwise.schemas import ENERGY, GROUP, HOUSEHOLD, READING_COLUMNS, READING_SCHEMA, TIME, reading_schema
@@ -197,3 +199,39 @@ def test_export_documents_counts_then_needs_connector(spark, out):
     assert staged.count() == N_ROWS - 4
     with pytest.raises(Exception):
         jobs.export_documents(spark, os.path.join(out, "stage"), {"database": "power"})
+
+
+def test_s13_quarantine(spark, out):
+    path = write_lines(out + "/bad.csv", [",".join(f.name for f in READING_SCHEMA), "h1,Std,2012-10-12 00:30:00,0.5,ACORN-A,Affluent",
+                                          "h2,ToU,some day,n/a,ACORN-A,Affluent", "h3,Std,2012-10-12 01:00:00,Null,,Adversity",
+                                          "h4,Std,2012-10-12 01:30:00,1.5,ACORN-B,Adversity,extra", "h5,Std"])
+    good, rejected, reasons = files.read_quarantined_csv(spark, path)
+    assert good.schema.simpleString() == READING_SCHEMA.simpleString()
+    assert sorted((r.LCLid, r.KWH_per_hh_per_30min) for r in good.collect()) == [("h1", 0.5), ("h3", None)]
+    assert {r.reason: r.n_cells for r in reasons.collect()} == {"DateTime": 1, "KWH_per_hh_per_30min": 1, "_line": 2}
+    assert {r.LCLid: (r["_reasons"], r.DateTime) for r in rejected.collect()}["h2"] == (["DateTime", "KWH_per_hh_per_30min"], "some day")
+
+
+def test_k1_reload_touches_one_month(spark, out):
+    rows = [(m, spark.sql(f"SELECT timestamp_ntz'2013-0{m}-03 00:00:00' AS DateTime, {m}.0D AS x")) for m in (1, 2, 3)]
+    every = rows[0][1].union(rows[1][1]).union(rows[2][1])
+    sinks.reload_months(every, out + "/t")
+    files = {f: os.path.getmtime(f) for f in glob.glob(out + "/t/year=2013/month=[13]/*.parquet")}
+    for _ in range(2):
+        sinks.reload_months(rows[1][1].withColumn("x", F.lit(9.0)), out + "/t")
+        assert sorted(r.x for r in spark.read.parquet(out + "/t").collect()) == [1.0, 3.0, 9.0]
+    assert {f: os.path.getmtime(f) for f in glob.glob(out + "/t/year=2013/month=[13]/*.parquet")} == files
+
+
+def test_k6_pair_text_of_controls(spark):
+    words = ["a\tb", "a\rb", "\x00\x1f", "\x7f", "\x85\xad", "it's\n", '"\\']
+    df = spark.createDataFrame([(w, 1) for w in words], "word string, count int")
+    assert [r[0] for r in df.select(pair_text()).collect()] == [repr((w, 1)) for w in words]
+
+
+def test_x10_lines_end_like_the_text_reader(spark, out):
+    text = "a b\r\nc\rd\n\ne"
+    with open(out + "/t.txt", "w", newline="") as fh:
+        fh.write(text)
+    cells = [r[0] for r in explode_lines(spark.createDataFrame([(text,)], "t string"), "t").collect()]
+    assert cells == [r[0] for r in spark.read.text(out + "/t.txt").collect()] == ["a b", "c", "d", "", "e"]
