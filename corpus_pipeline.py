@@ -22,14 +22,23 @@ from meterwise.llm.quality_classifier import classify_quality
 from meterwise.llm.store import Scratch
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of at most 1,000 rows (Spark's default is 10,000), so that
+    workers, which all stages share, stay small.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return classify_quality(docs, labels).filter("kept").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents that lose their last word by it."""
+    small_batches(spark)
     cleaned = dedup_lines(docs, **WHOLE).filter("NOT emptied")
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_exact") + F.col("n_near") > 0, F.length("text"))
@@ -39,6 +48,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays (rows equal in id and text stay once)."""
+    small_batches(spark)
     groups = near_duplicate_groups(docs)
     gone = groups.filter("NOT kept").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -53,6 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark text go."""
+    small_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return find_benchmark_text(docs, benchmark).filter("NOT contaminated").select(*docs.columns)
 
