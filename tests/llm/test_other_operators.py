@@ -335,6 +335,56 @@ def test_marks_of_wrappers_do_not_empty_a_page():
     assert H.main_text('<div class="cookie-banner"><p>We use cookies, to make this site better. Read our policy.</p></div>') == ""
 
 
+def test_soft_marks_weigh_on_an_article_without_settling_it():
+    long = "This is the first sentence of a long paragraph, which goes on. Here is another one, with words; and a third follows it."
+    article = f"<h1>The title</h1><p>{long}</p>"
+    for mark in ("share", "Form", "promo-code"):
+        for page in (f"<article>{article}<div class='{mark}'><p>{long}</p></div><p>{long}</p></article>",
+                     f"<main>{article}<p>{long}</p><div class='{mark}'>{long}</div></main>"):
+            assert H.main_text(page).count("a third") == 3, (mark, page)
+        assert H.main_text(f"<article>{article}<div class='{mark}'>Share this</div><p>{long}</p></article>").count("Share") == 0
+        assert H.main_text(f"<div class='{mark}'><p>{long}</p></div><article>{article}</article>").count("a third") == 1
+    assert H.main_text(f"<article>{article}<section id=comments><p>{long * 3}</p></section></article>").count("a third") == 1
+
+
+def test_the_cut_turns_blocks_that_the_classifier_gets_wrong():
+    article = "<article><h1>T</h1><p>Short</p><ul><li><a href=x>one</a><li><a href=y>two</a></ul><table><tr><td>1<td>2</table></article>"
+    menu = "<nav><ul><li><a href=a>A</a><li>B</ul></nav>"
+    blocks = H.page_blocks(f"<body>{menu}{article}<footer>&copy; me</footer></body>")
+    labels, turned = H.label_blocks(blocks)
+    assert [t for (t, _, _), x in zip(blocks, labels) if x] == ["T", "Short", "one", "two", "1", "2"] and turned >= 2
+    # Without an article, blocks between content blocks go with them.
+    prose = "<p>A paragraph of some length, with commas, and with stops. It goes on, as they do.</p>"
+    blocks = H.page_blocks(f"<div>{prose}<div>so it was</div>{prose}</div>")
+    labels, turned = H.label_blocks(blocks)
+    assert labels == [True] * 3 and turned == 1
+
+
+@pytest.mark.parametrize("hidden", [False, True])
+def test_fitted_costs_on_pages_whose_article_is_hidden(spark, hidden):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    weights = H.fit_weights(H.sample_pages(pages, 64, 32768))
+    assert weights != H.WEIGHTS and weights[list(H.PRIOR).index("paragraph")] > 0
+    right = wrong = missed = 0
+    for page in (r.html for r in pages.select("html").collect()):
+        truth = [box.article for _, box, _ in H.page_blocks(page)]
+        seen = H.page_blocks(page.replace("<article>", "<div>").replace("</article>", "</div>") if hidden else page)
+        for want, got in zip(truth, H.label_blocks(seen, weights)[0], strict=True):
+            right += want and got
+            wrong += got and not want
+            missed += want and not got
+    assert right / (right + wrong) >= 0.99 and right / (right + missed) >= 0.99
+
+
+def test_pages_without_an_article_keep_the_stated_weights(spark):
+    pages = spark.createDataFrame([(1, "<p>One, two.</p>"), (2, None), (None, "")], "page_id long, html string")
+    assert H.sample_pages(pages, 8, 1000) == [] and H.fit_weights([]) == H.WEIGHTS
+    many = spark.range(400).selectExpr("id AS page_id", "concat('<article><p>Page ', id, '.</p></article><p>x</p>') AS html")
+    found = H.sample_pages(many, 16, 1000)
+    assert len(found) == 16 == len(set(found)) and found == H.sample_pages(many.repartition(7), 16, 1000)
+    assert H.sample_pages(many, 16, 10) == []
+
+
 def test_minimum_cut_is_minimal():
     rnd = random.Random(7)
     for _ in range(300):
