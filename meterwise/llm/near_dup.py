@@ -326,9 +326,11 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     alone = (left.mapInArrow(_shingle_rows(width), "node long, x long").groupBy("x")
              .agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
              .groupBy("node").agg(F.count("*").alias("alone")))
-    one_text = texts.groupBy("node").count().filter("count = 1").select("node")
-    bounded = (sketch.join(alone.join(one_text, "node", "left_semi"), "node", "left")
-               .withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+    # An id of several texts stands for their sets together, so nothing is known to be alone in it. The join
+    # comes after the counts, where it reads a row for each vertex (Spark would move a semi-join below them).
+    several_texts = texts.groupBy("node").count().filter("count > 1").select("node", F.lit(0).alias("unknown"))
+    bounded = (sketch.join(alone, "node", "left").join(several_texts, "node", "left")
+               .withColumn("shared", F.col("n_shingles") - F.coalesce("unknown", "alone", F.lit(0))).drop("unknown")
                .filter(100 * F.col("shared") >= percent * F.col("n_shingles")))
     sets = left.mapInArrow(_samples(width), "node long, level int, lost int, sample array<int>")
     bounded = scratch.stage(bounded.join(sets, "node"), "bounded")
