@@ -51,7 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near-duplicates stays (rows equal in id and text stay once)."""
     small_batches(spark)
     groups = near_duplicate_groups(docs)
-    gone = groups.filter("NOT kept").select("doc_id").distinct()
+    # Written, so that its size is known: while it's under Spark's threshold, no document is shuffled.
+    gone = Scratch(spark, "near-duplicates").stage(groups.filter("NOT kept").select("doc_id").distinct(), "gone", keep=True)
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if again.isEmpty():
