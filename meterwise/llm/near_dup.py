@@ -268,7 +268,9 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     shared = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last")
     rows = scratch.stage(keyed.join(shared.select("key", "lead"), "key").distinct(), "rows")
 
-    involved = rows.select("node").distinct()
+    # Written, so that its size is known: while it's under Spark's threshold, the joins that pick
+    # the vertices' sketches and texts shuffle neither.
+    involved = scratch.stage(rows.select("node").distinct(), "involved")
     sketch = scratch.stage(linked.select(F.col("doc_id").alias("node"), "n_shingles", *SKETCH, "keys")
                            .join(involved, "node", "left_semi").distinct(), "sketches")
     texts = scratch.stage(slim.filter("text IS NOT NULL").select(F.col("doc_id").alias("node"), packed(F.col("text")).alias("text"))
