@@ -30,7 +30,7 @@ ROWS = [
 N_ROWS = len(ROWS)
 N_COMPLETE = N_ROWS - 4  # Null energy, empty row, null key, empty energy
 
-PEOPLE_JSON = ['{"name":"Michael"}', '{"name":"Andy", "age":30}', '{"name":"Justin", "age":19}']
+PEOPLE_JSON = ['{"name":"Ingrid"}', '{"name":"Tomas", "age":41}', '{"name":"Wanda", "age":17}']
 
 TEXT_LINES = ["a  b a", "", "b "]
 TEXT_COUNTS = {"": 3, "a": 2, "b": 2}

@@ -18,4 +18,4 @@ def test_people_job_from_command_line(out):
     assert proc.returncode == 0, proc.stderr[-2000:]
     parts = [f for f in os.listdir(csv_out) if f.startswith("part-")]
     text = "".join(open(os.path.join(csv_out, f)).read() for f in parts)
-    assert text.strip() == "Justin"
+    assert text.strip() == "Wanda"
