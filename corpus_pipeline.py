@@ -18,18 +18,11 @@ from meterwise.llm.decontaminate import find_benchmark_text
 from meterwise.llm.line_dedup import WHOLE, dedup_lines
 from meterwise.llm.mixing import mix_sources
 from meterwise.llm.near_dup import near_duplicate_groups
+from meterwise.llm.packed import small_batches
 from meterwise.llm.quality_classifier import classify_quality
 from meterwise.llm.store import Scratch
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Whole texts go to Python in batches of at most 1,000 rows (Spark's default is 10,000) and about
-    8 MB (64 MB), so that workers, which all stages share, stay small whatever the texts' lengths.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     small_batches(spark)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.llm import wordhash as W
-from meterwise.llm.packed import ROWS, packed, unpack_texts
+from meterwise.llm.packed import ROWS, packed, small_batches, unpack_texts
 from meterwise.llm.store import Scratch
 
 U = np.uint64
@@ -181,6 +181,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
       one named like an added column is replaced.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "line-dedup")
     others = [c for c in docs.columns if c not in [*ADDED, text_col]]
     text = F.col(f"`{text_col}`").cast("string")

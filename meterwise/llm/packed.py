@@ -1,7 +1,8 @@
-"""Whole texts as Zstandard-compressed binaries, for shuffles that must carry them.
+"""Whole texts on their way through shuffles and Python workers.
 
-A shuffle's own block compression is made for speed; packing each text first
-moves and stores about a third less.
+For shuffles that must carry them they become Zstandard-compressed binaries: a
+shuffle's own block compression is made for speed; packing each text first
+moves and stores about a third less. To Python they go in small batches.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +18,22 @@ from pyspark.sql import functions as F
 ROWS = 256
 
 
+#: Bounds of a batch of rows on its way to or from a Python worker.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of at most 1,000 rows (Spark's default is 10,000) and about
+    8 MB (64 MB), so that workers, which all stages share, stay small whatever the texts' lengths.
+
+    Spark reads these settings when a plan runs, so they stay set for the session; smaller ones are left.
+    """
+    for key, most in BATCH.items():
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:  # no bound, a larger one, or one with a unit
+            spark.conf.set(key, str(most))
+
+
 def pack_texts(texts: pa.Array) -> pa.Array:
     import zstandard
 

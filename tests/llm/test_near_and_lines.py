@@ -168,6 +168,25 @@ def test_lines_equal_brute_force(spark):
     assert {(r.n_shingles, r.gone) for r in got.collect()} == {("s", 5)}
 
 
+def test_whole_texts_go_to_python_in_small_batches(spark):
+    from meterwise.llm.packed import BATCH
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([max(len(b) for b in batches)], pa.int64())], names=["n"])
+    old = {key: spark.conf.get(key) for key in BATCH}
+    try:
+        for key in BATCH:
+            spark.conf.unset(key)
+        L.dedup_lines(spark.createDataFrame([], SCHEMA))
+        assert spark.range(5000).coalesce(1).mapInArrow(sizes, "n long").first().n <= 1000
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+        L.dedup_lines(spark.createDataFrame([], SCHEMA))
+        assert spark.range(5000).coalesce(1).mapInArrow(sizes, "n long").first().n <= 10
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+
+
 def test_lines_of_repeated_rows_and_null_ids(spark):
     line = "one two three four five six"
     rows = [(1, line), (1, line), (None, line), (2, line + "\nshort")]
