@@ -14,7 +14,7 @@ Buckets are then contracted in rounds: in each bucket the smallest vertex of
 every component is compared with that of the bucket's first component, and
 components merge, until no round merges any more. What is left are buckets that
 hold several components. A vertex with fewer than 75 % of its shingles in any other
-vertex left can have no link and goes. The others carry their sets into the last join (a set
+vertex left can have no link and goes, and so do buckets that hold one component after that. The others carry their sets into the last join (a set
 of more than ``SAMPLE`` shingles as a sample of its hashes, the same rate for sets of like size), which
 so gives out little more than links across components. Comparing what a bucket has left is still
 quadratic in its components; giving out pairs isn't.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from meterwise.llm import wordhash as W
 from meterwise.llm.graph import components
-from meterwise.llm.packed import packed, unpack_texts
+from meterwise.llm.packed import packed, small_batches, unpack_texts
 from meterwise.llm.store import Scratch
 
 HASHES, CHUNK = 60, 5
@@ -255,6 +255,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if percent < 75:
         raise ValueError("the signature bounds hold for a similarity of 75 % or more")
     spark = docs.sparkSession
+    small_batches(spark)
     scratch = Scratch(spark, "near-dup")
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     features = scratch.stage(slim.mapInArrow(_features(width), FEATURES), "features")
@@ -336,7 +337,13 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
                .filter(100 * F.col("shared") >= percent * F.col("n_shingles")))
     sets = left.mapInArrow(_samples(width), "node long, level int, lost int, sample array<int>")
     bounded = scratch.stage(bounded.join(sets, "node"), "bounded")
-    side = placed.select("key", "node", "comp").join(bounded, "node")
+    # Buckets that hold one component once those went have no pair to give: they go before the sets, which a vertex
+    # carries into every bucket it is in, are shuffled. Both sides of the join name the same columns as not null,
+    # so that Spark shuffles them once.
+    near = scratch.stage(placed.select("key", "node", "comp").join(bounded.select("node").distinct(), "node", "left_semi"), "near")
+    several = near.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1").select("key")
+    near = scratch.stage(near.join(several, "key", "left_semi"), "near-mixed")
+    side = near.join(bounded, "node").filter("keys IS NOT NULL")
     # A pair meets in several buckets; only its first one gives it out.
     first = F.array_position(F.zip_with("x.keys", "y.keys", lambda a, b: a == b), True)
     rest = (side.alias("x").join(side.alias("y"), (F.col("x.key") == F.col("y.key"))

@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from meterwise.llm import line_dedup as L
 from meterwise.llm import near_dup as N
@@ -75,6 +76,22 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
 
 
+def test_sets_are_shuffled_once_and_only_for_buckets_of_several_components(spark, monkeypatch):
+    staged = {}
+    stage = Scratch.stage
+    monkeypatch.setattr(Scratch, "clear", lambda self: None)
+
+    def spy(self, df, name, keep=False):
+        staged[name] = df
+        return stage(self, df, name, keep)
+    monkeypatch.setattr(Scratch, "stage", spy)
+    N.near_duplicate_groups(spark.createDataFrame(corpus(), "doc_id long, text string")).collect()
+    assert not staged["near-mixed"].groupBy("key").agg(F.count_distinct("comp").alias("n")).filter("n < 2").count()
+    # Both sides of the last join ask for the same not-null columns, so that one shuffle serves both.
+    plan = staged["links"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("isnotnull(keys") == 2
+
+
 def test_low_similarity_is_refused(spark):
     with pytest.raises(ValueError):
         N.near_duplicate_groups(spark.createDataFrame([], "doc_id long, text string"), percent=50)
