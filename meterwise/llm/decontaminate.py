@@ -7,7 +7,9 @@ once; matches are mapped back to words and to character offsets of the original
 text.
 
 Its letters are word numbers, so a window is as many nodes as it has words (at most ten,
-about 40 bytes each). The automaton is broadcast, so its size is bounded: a benchmark that could
+about 40 bytes each). It looks for a letter among all that start a window, one by one, whenever no
+match is under way, so it gets only the stretches of a document in which every two neighbours
+are neighbours in some window too: no window reaches beyond one. The automaton is broadcast, so its size is bounded: a benchmark that could
 make more than ``max_nodes`` nodes is dealt into blocks, and the documents are
 scanned once per block; each pass but the last is written, so a task holds one automaton.
 """
@@ -16,6 +18,8 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
+from itertools import islice, repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +29,8 @@ from meterwise.llm.store import Scratch
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+# The same words in UTF-8: A-Z folded, every separator (all are ASCII) a space.
+TO_WORDS = bytes(FOLD.get(c, c) if c > 0x7F or re.match(WORD, chr(FOLD.get(c, c))) else 0x20 for c in range(256))
 SPANS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
 SPAN_TYPE = "array<struct<first:int,last:int>>"
 SCAN_TYPE = f"struct<n_words:long,spans:{SPAN_TYPE},items:array<long>>"
@@ -43,20 +49,35 @@ def item_windows(text: str | None, window: int) -> set[tuple[str, ...]]:
 
 
 def build_automaton(items: list[tuple[int | None, str | None]], window: int):
-    """The items' words as numbers from 1, and the automaton of their windows over these numbers;
-    a pattern's value is (its words, its item ids)."""
+    """The items' words (UTF-8) as numbers from 1, and the automaton of their windows over these numbers;
+    a pattern's value is (its words, its item ids). Then, for :func:`stretches`, the pairs of neighbours in
+    windows, the words that are a window alone, and the least length of the other windows (none: 0)."""
     import ahocorasick
 
     owners: dict[tuple, set] = {}
     numbers: dict[str, int] = {}
     for item, text in items:
         for w in item_windows(text, window):
-            owners.setdefault(tuple(numbers.setdefault(x, len(numbers) + 1) for x in w), set()).add(item)
+            owners.setdefault(tuple(numbers.setdefault(x.encode(), len(numbers) + 1) for x in w), set()).add(item)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for w, ids in owners.items():
         automaton.add_word(w, (len(w), tuple(i for i in ids if i is not None)))
     automaton.make_automaton()
-    return numbers, automaton
+    pairs = {p for w in owners for p in zip(w, w[1:])}
+    alone = {w[0] for w in owners if len(w) == 1}
+    return numbers, automaton, pairs, alone, min((len(w) for w in owners if len(w) > 1), default=0)
+
+
+def stretches(known: list[int], pairs: set, alone: set, least: int) -> Iterator[tuple[int, tuple[int, ...]]]:
+    """Parts of ``known`` (word numbers, 0: in no item) that can hold a window, each with its first position."""
+    if least:
+        paired = bytes(map(pairs.__contains__, zip(known, islice(known, 1, None))))
+        for run in re.finditer(b"\x01{%d,}" % (least - 1), paired):
+            yield run.start(), tuple(known[run.start():run.end() + 1])
+    if alone and not alone.isdisjoint(known):
+        for at, x in enumerate(known):
+            if x in alone:
+                yield at, (x,)
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -70,26 +91,27 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def scan(numbers: dict[str, int], automaton, text: str | None):
+def scan(numbers: dict[bytes, int], automaton, pairs: set, alone: set, least: int, text: str | None):
     """Number of words, word ranges that are hit, and the items that occur in ``text``."""
-    words = normal_words(text)
+    words = text.encode().translate(TO_WORDS).split() if text else []
     hits, items = [], set()
-    if numbers and words:
-        for last, (n, ids) in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
-            if hits and hits[-1][0] <= last - n + 1 <= hits[-1][1] + 1:
-                hits[-1] = (hits[-1][0], last)
+    for at, part in stretches(list(map(numbers.get, words, repeat(0))), pairs, alone, least):
+        for end, (n, ids) in automaton.iter(part):
+            first, last = at + end - n + 1, at + end
+            if hits and hits[-1][0] <= first <= hits[-1][1] + 1:
+                hits[-1] = (hits[-1][0], max(hits[-1][1], last))
             else:
-                hits.append((last - n + 1, last))
+                hits.append((first, last))
             items.update(ids)
     return len(words), merge_spans(hits), items
 
 
 def _scanner(shared):
     def run(texts: pa.Array) -> pa.Array:
-        numbers, automaton = shared.value
+        windows = shared.value
         n_words, spans, items = [], [], []
         for at in range(len(texts)):
-            n, hit, found = scan(numbers, automaton, texts[at].as_py())
+            n, hit, found = scan(*windows, texts[at].as_py())
             n_words.append(n)
             spans.append([{"first": a, "last": b} for a, b in hit])
             items.append(sorted(found))

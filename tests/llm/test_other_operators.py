@@ -430,5 +430,36 @@ def test_benchmark_text_equals_brute_force(spark, odd, empty, max_nodes):
     assert not any(r.contaminated for r in D.find_benchmark_text(odd, bench.limit(0)).collect())
 
 
+def test_benchmark_scan_gives_the_automaton_only_stretches_that_can_hold_a_window():
+    class Counting:
+        def __init__(self, automaton):
+            self.automaton, self.letters = automaton, 0
+
+        def iter(self, letters):
+            self.letters += len(letters)
+            return self.automaton.iter(letters)
+
+    item = " ".join(f"w{i}" for i in range(40))
+    numbers, automaton, *rest = D.build_automaton([(7, item)], 10)
+    counting = Counting(automaton)
+    text = " ".join(f"w{i * 7 % 40}" for i in range(2000)) + " " + item + " plain words" * 1000  # known words, other neighbours
+    assert D.scan(numbers, counting, *rest, text) == (4040, [(2000, 2039)], {7})
+    assert counting.letters == 40
+
+
+def test_benchmark_scan_equals_brute_force_for_windows_of_any_length():
+    rnd = random.Random(4)
+    text = lambda n: "".join(rnd.choice(["Ab", "c", "é", "x1", "Ω"]) + rnd.choice([" ", "-", "\t", "\x00", "\x7f\n"]) for _ in range(n))
+    for _ in range(200):
+        items = [(i, text(rnd.choice([0, 1, 2, 3, 9, 10, 11, 14]))) for i in range(rnd.randint(0, 4))] + [(None, text(2))] * rnd.randint(0, 1)
+        windows = D.build_automaton(items, 10)
+        for t in [text(rnd.randint(0, 30)) + (items[-1][1] if items else "") + text(3), "", "!", None]:
+            n, spans, found = D.scan(*windows, t)
+            assert (n, sum(b - a + 1 for a, b in spans), sorted(found)) == brute_hits(t, items)
+            assert all(b + 1 < c for (_, b), (c, _) in zip(spans, spans[1:]))
+    odd = "".join(map(chr, range(0x300))) + "\u2028\u3000\U0001F600"
+    assert odd.encode().translate(D.TO_WORDS).split() == [w.encode() for w in D.normal_words(odd)]
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
