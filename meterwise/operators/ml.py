@@ -7,6 +7,7 @@ model parameters and metric values (a handful of numbers) reach the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -17,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
                                    RandomForestRegressor)
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -148,6 +149,65 @@ def exact_accuracy(predictions: DataFrame, label: str) -> float:
                                              metricName="accuracy").evaluate(predictions)
 
 
+def candidate_splits(rows: DataFrame, learner, values: Column) -> list[float]:
+    """The thresholds that the tree ``learner``, fitted on ``rows``, may choose from for the numeric feature ``values``.
+
+    Spark draws them from a seeded sample of the rows, whatever the label. A tree on this feature
+    alone, with the feature as its own label, ends with one leaf for each bin, so it has used them all.
+    """
+    alone = assemble(rows.select(values.alias("_x")), ["_x"], "_alone")
+    tree = DecisionTreeRegressor(labelCol="_x", featuresCol="_alone", maxBins=learner.getMaxBins(), maxDepth=30, seed=learner.getSeed()).fit(alone)
+    return sorted({float(x) for x in re.findall(r"<= ([^)]+)\)", tree.toDebugString)})
+
+
+def fits_cells(learner, rows: DataFrame, features: str) -> bool:
+    """Whether ``learner`` finds the same model on weighted means of cells (see :func:`fit_on_cells`).
+
+    Boosted trees on squared error do, unless rows are sampled, counted or have weights of their own. The features' metadata
+    must tell numeric from nominal ones.
+    """
+    if not isinstance(learner, GBTRegressor):
+        return False
+    attrs = rows.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
+    return (bool(attrs) and set(attrs) <= {"numeric", "nominal"} and learner.getLossType() == "squared"
+            and learner.getSubsamplingRate() == 1 and learner.getMinInstancesPerNode() == 1
+            and not learner.isDefined("weightCol") and not learner.isDefined("validationIndicatorCol"))
+
+
+def fit_on_cells(learner, rows: DataFrame, label: str, features: str, path: str):
+    """``learner`` fitted on one weighted row for each cell of ``rows``, and the function that adds cells to a frame.
+
+    A cell is a combination of bins of the numeric features (between candidate splits) and values of the nominal ones: all
+    that a tree can tell apart. Rows of a cell share every leaf, so what their labels differ by adds the same to the
+    error of every split, and leaves are means of labels either way. The cells' table is written to ``path``.
+    """
+    values = vector_to_array(F.col(features))
+    cells, most = {}, learner.getMaxBins()
+    for kind, attrs in rows.schema[features].metadata["ml_attr"]["attrs"].items():
+        for a in attrs:
+            x = F.get(values, F.lit(a["idx"]))
+            if kind == "nominal":
+                cells[a["idx"]] = x.alias(f"_cell{a['idx']}", metadata={"ml_attr": {"type": "nominal", **{k: v for k, v in a.items() if k != "idx"}}})
+            else:
+                splits = candidate_splits(rows, learner, x)
+                most = max(most, len(splits) + 1)  # Spark may go slightly beyond maxBins
+                bin_of = sum((F.when(x > t, 1.0).otherwise(0.0) for t in splits), F.lit(0.0))
+                cells[a["idx"]] = bin_of.alias(f"_cell{a['idx']}", metadata={})
+    names = [f"_cell{i}" for i in sorted(cells)]
+
+    def celled(df: DataFrame) -> DataFrame:
+        return assemble(df.select("*", *(cells[i] for i in sorted(cells))), names, "_cell").drop(*names)
+
+    # A mean over a null label is null: the learner refuses it as it refuses the row.
+    mean = F.when(F.count(label) == F.count(F.lit(1)), F.avg(label))
+    means = celled(rows).groupBy("_cell").agg(mean.alias(label), F.count(F.lit(1)).cast("double").alias("_rows"))
+    means.write.parquet(path)
+    means = rows.sparkSession.read.schema(means.schema).parquet(path)
+    copies = -(-most // max(means.count(), 1))  # Spark allows no more bins than rows
+    means = means.select("_cell", label, (F.col("_rows") / copies).alias("_rows"), F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    return learner.copy({learner.weightCol: "_rows", learner.featuresCol: "_cell", learner.maxBins: most}).fit(means), celled
+
+
 SCORE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()),
     T.StructField("mae", T.DoubleType()), T.StructField("rmse", T.DoubleType()),
@@ -162,7 +222,9 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
     """Fit each learner on ``train``, score on ``test``: one row per model (M9).
 
     Both are written once to the shared folder, which the iterative learners read: a lost
-    executor costs its tasks, not a cache. ``learners`` (default :func:`regressors`) maps names to estimators.
+    executor costs its tasks, not a cache. Boosted trees, whose every round passes over their rows
+    several times, are fitted on cells (see :func:`fit_on_cells`).
+    ``learners`` (default :func:`regressors`) maps names to estimators.
     """
     ensure_checkpoint_dir(spark)  # GBT checkpoints its lineage every 10 rounds
     learners = learners or regressors(label, features, max_bins, seed)
@@ -173,7 +235,12 @@ def compare_models(spark: SparkSession, train: DataFrame, test: DataFrame, label
         df.write.parquet(path)
     train, test = (spark.read.schema(df.schema).parquet(path) for df, path in zip((train, test), paths))
     for name in chosen:
-        s = scores(learners[name].fit(train).transform(test), label)
+        if fits_cells(learners[name], train, features):
+            paths.append(scratch_path(spark, "comparison"))
+            model, celled = fit_on_cells(learners[name], train, label, features, paths[-1])
+            s = scores(model.transform(celled(test)), label)
+        else:
+            s = scores(learners[name].fit(train).transform(test), label)
         rows.append((name, s["mae"], s["rmse"], s["mse"], s["r2"], s["exact_share"], s["n_test"]))
     for path in paths:
         delete_path(spark, path)

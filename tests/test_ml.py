@@ -220,3 +220,46 @@ def test_m9_scores_do_not_depend_on_partitions(spark):
         scores = ML.compare_models(spark, train, test, "l_quantity", learners=ML.cell_learners("l_quantity"))
         seen.append([(r.model, round(r.mae, 9), round(r.mse, 9), r.n_test) for r in scores.collect()])
     assert seen[0] == seen[1]
+
+
+def cell_rows(spark, n):
+    """Skewed numeric codes, a nominal code and a label, in one partition."""
+    rows = spark.range(0, n, 1, 1).select(
+        F.floor(F.lit(3000) * F.pow(F.rand(1), 3)).cast("double").alias("a"),
+        F.col("id").cast("double").alias("_id"), (F.col("id") % 3).cast("double").alias("b", metadata={"ml_attr": {"type": "nominal", "name": "b", "num_vals": 3}}))
+    return ML.assemble(rows, ["a", "b"]).select("features", (F.sin("a") + F.sqrt("a") * F.col("b") + F.rand(2)).alias("y"))
+
+
+def test_boosted_trees_are_fitted_on_cells_and_score_as_on_rows(spark, tmp_path, monkeypatch):
+    made = cell_rows(spark, 30_000)  # more than the 10,000 rows from which Spark draws the candidate splits
+    made.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.schema(made.schema).parquet(str(tmp_path / "rows"))
+    learner = ML.GBTRegressor(labelCol="y", maxIter=4, maxBins=16, seed=42)
+    on_rows = learner.fit(rows)
+    want = ML.scores(on_rows.transform(rows), "y")
+    seen, fit = [], ML.GBTRegressor.fit
+    monkeypatch.setattr(ML.GBTRegressor, "fit", lambda self, df, *a: (seen.append(df.count()), fit(self, df, *a))[1])
+    got = ML.compare_models(spark, rows, rows, "y", learners={"gbt": learner}).first()
+    assert got.n_test == 30_000 and seen and max(seen) <= 3 * 20
+    assert all(got[m] == pytest.approx(want[m], rel=1e-9) for m in ML.METRICS)
+    model, celled = ML.fit_on_cells(learner, rows, "y", "features", str(tmp_path / "cells"))
+    same = model.transform(celled(on_rows.transform(rows).withColumnRenamed("prediction", "on_rows")))
+    assert same.filter(F.abs(F.col("prediction") - F.col("on_rows")) > 1e-9).isEmpty()
+
+
+def test_cells_of_constant_features_few_rows_and_null_labels(spark, tmp_path):
+    rows = cell_rows(spark, 40)
+    learner = ML.GBTRegressor(labelCol="y", maxIter=2, seed=42)
+    one = ML.assemble(rows.select(F.lit(7.0).alias("c"), "y"), ["c"])
+    for name, df in (("few", rows), ("constant", one)):
+        want = ML.scores(learner.fit(df).transform(df), "y")
+        model, celled = ML.fit_on_cells(learner, df, "y", "features", str(tmp_path / name))
+        got = ML.scores(model.transform(celled(df)), "y")
+        assert all(got[m] == pytest.approx(want[m], rel=1e-9, abs=1e-9) for m in ML.METRICS)
+    nulls = rows.withColumn("y", F.when(F.col("y") > 5, F.col("y")))
+    with pytest.raises(Exception, match="(?i)null"):
+        ML.fit_on_cells(learner, nulls, "y", "features", str(tmp_path / "nulls"))
+    for other in (ML.GBTRegressor(lossType="absolute"), ML.GBTRegressor(subsamplingRate=0.5), ML.GBTRegressor(minInstancesPerNode=2),
+                  ML.GBTRegressor(weightCol="w"), ML.DecisionTreeRegressor()):
+        assert not ML.fits_cells(other, rows, "features")
+    assert ML.fits_cells(learner, rows, "features") and not ML.fits_cells(learner, spark.createDataFrame(rows.collect()), "features")
